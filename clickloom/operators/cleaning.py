@@ -90,12 +90,10 @@ def apply_imputer(df: DataFrame, params: DataFrame) -> DataFrame:
     for row in params.collect():
         name = row["column"]
         value = row["num_value"] if row["kind"] == "num" else row["str_value"]
-        if name not in types or value is None:
+        if name not in types or name in fills or value is None:
             continue
-        fill = F.lit(value)
-        if row["kind"] == "num" and types[name] not in ("double", "float"):
-            # a half-way median of whole numbers must not be cut off
-            whole = float(value).is_integer()
-            fill = fill.cast(types[name]) if whole else fill
+        # the half-way median of whole numbers stays a double
+        halfway = row["kind"] == "num" and not float(value).is_integer()
+        fill = F.lit(value) if halfway else F.lit(value).cast(types[name])
         fills[name] = F.coalesce(F.col(f"`{name}`"), fill)
     return df.withColumns(fills) if fills else df

@@ -27,9 +27,17 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    fmt: str = "parquet",
+    nan_as_null: bool | None = None,
 ) -> DataFrame:
-    """Scan parquet, or CSV with a header line and a declared schema."""
+    """Scan parquet, or CSV with a header line and a declared schema.
+
+    NaN becomes NULL in CSV scans, and in others on request: the check hides a
+    column from filter pushdown, and tables written by this library hold none.
+    """
     if fmt == "csv" and schema is None:
         raise ValueError("a CSV scan needs a declared schema")
     reader = spark.read
@@ -38,11 +46,12 @@ def read_table(
     if fmt == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
     try:
-        return nan_to_null(reader.format(fmt).load(path))
+        table = reader.format(fmt).load(path)
     except AnalysisException as err:
         if "PATH_NOT_FOUND" in str(err):
             raise MissingInput(path) from err
         raise
+    return nan_to_null(table) if (fmt == "csv" if nan_as_null is None else nan_as_null) else table
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", index: str | None = None) -> str:
@@ -56,9 +65,10 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", index: str | Non
     return path
 
 
-def write_report(lines: DataFrame, path: str, line: str = "line", order: str = "line_no") -> str:
-    """Write a short text report in line order, as one file."""
-    lines.orderBy(order).select(line).coalesce(1).write.mode("overwrite").text(path)
+def write_report(lines: DataFrame, path: str) -> str:
+    """Write the short text report (part, pos, line) as one file, in order."""
+    ordered = lines.orderBy(F.asc_nulls_first("part"), "pos").select("line")
+    ordered.coalesce(1).write.mode("overwrite").text(path)
     return path
 
 
