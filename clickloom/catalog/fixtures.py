@@ -55,7 +55,8 @@ def engineered(spark: SparkSession, sf: str) -> DataFrame:
     return _once(spark, sf, "engineered", lambda: engineer(train(spark, sf), test(spark, sf))[0])
 
 
-def click_split(spark: SparkSession, sf: str, split: str) -> DataFrame:
-    """Clicks with gaps, divided by session like the sessions are."""
+def click_split(spark: SparkSession, sf: str, split: str, gaps: bool = True) -> DataFrame:
+    """Clicks, with or without gaps, divided by session like the sessions are."""
     is_test = F.col("session_id") % 5 == 0
-    return clicks_missing(spark, sf).where(is_test if split == "test" else ~is_test).drop("event_id")
+    source = clicks_missing(spark, sf) if gaps else clicks(spark, sf)
+    return source.where(is_test if split == "test" else ~is_test).drop("event_id")

@@ -149,12 +149,12 @@ LENGTHS = ",\nlen AS (SELECT session_id, count(\"order\") AS clicks FROM clicks
 
 
 def _kde(values: str, by: str, cut: int, digits: int) -> str:
-    pick, part = (f"{by}, ", f"{by}") if by else ("", "1")
+    pick, part = (f"{by}, ", f"GROUP BY {by}") if by else ("", "")
     on = f"USING ({by})" if by else "ON true"
     return f""",
 v AS ({values}),
 b AS (SELECT {pick}count(*) AS n, min(v) AS lo, max(v) AS hi, stddev_samp(v) * pow(count(*), -0.2) AS h
-      FROM v GROUP BY {part}),
+      FROM v {part}),
 w AS (SELECT {pick}v, count(*) AS c FROM v GROUP BY {pick}v)
 SELECT {pick}CAST(point AS INT) AS point, round(x, {digits}) AS x,
   round(sum(c * exp(-0.5 * ((x - v) / h) * ((x - v) / h))) / (n * h * sqrt(2 * pi())), {digits}) AS density

@@ -417,24 +417,22 @@ def nearest_center_assign(spark, sf):
 
 @query
 def kmeans_sweep(spark, sf):
-    vectors = models.training_rows(fx.engineered(spark, sf), ENGINEERED_FEATURES)
-    fits = models.sweep(vectors, ["KMeans"], SWEEP)
+    rows = models.training_rows(fx.engineered(spark, sf), ENGINEERED_FEATURES)
+    fits = models.sweep(rows, ENGINEERED_FEATURES, ["KMeans"], SWEEP)
     return tidy(spark.createDataFrame([(f.k, float(f.score)) for f in fits], "k int, inertia double"))
 
 
 @query
 def kmeans_labels(spark, sf):
-    vectors = models.training_rows(fx.engineered(spark, sf), ENGINEERED_FEATURES)
-    fitted = models.fit_kmeans(vectors.persist(), 3)
-    vectors.unpersist()
-    labelled = models.vector_columns(fitted.label(vectors), ENGINEERED_FEATURES)
-    return models.renumber(labelled, "cluster", ENGINEERED_FEATURES).select(KEY, "cluster")
+    rows = models.training_rows(fx.engineered(spark, sf), ENGINEERED_FEATURES)
+    fitted = models.sweep(rows, ENGINEERED_FEATURES, ["KMeans"], [3])[0]
+    return models.renumber(fitted.label(rows), "cluster", ENGINEERED_FEATURES).select(KEY, "cluster")
 
 
 @query
 def gmm_sweep(spark, sf):
-    vectors = models.training_rows(fx.engineered(spark, sf), ENGINEERED_FEATURES)
-    fits = models.sweep(vectors, ["GMM"], SWEEP)
+    rows = models.training_rows(fx.engineered(spark, sf), ENGINEERED_FEATURES)
+    fits = models.sweep(rows, ENGINEERED_FEATURES, ["GMM"], SWEEP)
     return tidy(spark.createDataFrame([(f.k, float(f.score)) for f in fits], "k int, log_likelihood double"))
 
 
@@ -476,8 +474,8 @@ def model_comparison(spark, sf):
 # -- whole runs over saved files
 
 
-def _raw_split(spark, sf):
-    return fx.click_split(spark, sf, "train"), fx.click_split(spark, sf, "test")
+def _raw_split(spark, sf, gaps=True):
+    return fx.click_split(spark, sf, "train", gaps), fx.click_split(spark, sf, "test", gaps)
 
 
 @query
@@ -505,7 +503,7 @@ def train_and_profile(spark, sf):
     """Clicks to the text report, by way of every saved table in between."""
     folder = fresh_path(spark, "run")
     log = RunLog(spark, f"{folder}/run_log", "clusters", "all")
-    prepared = prepare_filtered(*_raw_split(spark, sf), folder, log)
+    prepared = prepare_filtered(*_raw_split(spark, sf, gaps=False), folder, log)
     train, _ = engineer_features(prepared, folder, log)
     clustered = cluster_sessions(train, folder, log, ks=[2, 3], restarts=2)
     return profile_clusters(clustered, folder)

@@ -37,6 +37,12 @@ def squared_distance(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a + b, [(x - y) * (x - y) for x, y in zip(left, right)])
 
 
+def complete(name: str) -> Column:
+    """The column as a double; a missing value stops the job."""
+    missing = F.raise_error(F.lit(f"feature {name} is missing")).cast("double")
+    return F.coalesce(F.col(name).cast("double"), missing).alias(name)
+
+
 def as_long(df, keep: Sequence[str], columns: Sequence[str], name: str, value: str, dtype="double"):
     """Melt ``columns`` to (name, value) rows within the scan stage."""
     cells = [F.struct(F.lit(c).alias(name), F.col(c).cast(dtype).alias(value)) for c in columns]

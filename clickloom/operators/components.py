@@ -33,26 +33,28 @@ def follow_to_root(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def connected(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Rows (id, root): the smallest id each node (id) is linked to by (a, b) edges.
 
-    Each round hooks every node to the smallest root among its neighbours and
-    then shortens the pointers, so the number of rounds grows with the
-    logarithm of the longest path.
+    In each round a node and its root both take the smallest root among the
+    node's neighbours, and pointers are then shortened by one step. Every round
+    is one written table; the number of rounds grows with the logarithm of the
+    longest path.
     """
     links = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     links = stage(links.where(F.col("a") != F.col("b")).distinct(), "links")
     roots = stage(nodes.select("id", F.col("id").alias("root")).distinct(), "roots")
+    none = F.lit(None).cast("bigint")
     while True:
-        seen = links.join(roots.select(F.col("id").alias("b"), F.col("root").alias("_to")), "b")
-        lowest = seen.groupBy(F.col("a").alias("id")).agg(F.min("_to").alias("_low"))
-        # a smaller root seen by any member becomes the parent of the member's root
-        hooks = (
-            roots.join(lowest, "id")
-            .where(F.col("_low") < F.col("root"))
-            .groupBy(F.col("root").alias("child"))
-            .agg(F.min("_low").alias("parent"))
+        to = roots.select(F.col("id").alias("b"), F.col("root").alias("_low"))
+        lowest = links.join(to, "b").groupBy(F.col("a").alias("id")).agg(F.min("_low").alias("_low"))
+        seen = roots.join(lowest, "id", "left").select("id", "root", F.coalesce("_low", "root").alias("_low"))
+        offers = seen.select("id", F.least("root", "_low").alias("_to"), F.col("root").alias("_old")).unionByName(
+            seen.where(F.col("_low") < F.col("root")).select(F.col("root").alias("id"), F.col("_low").alias("_to"), none.alias("_old"))
         )
-        hooks = stage(hooks, "hooks")
-        if hooks.isEmpty():
+        hooked = offers.groupBy("id").agg(F.min("_to").alias("_to"), F.max("_old").alias("_old"))
+        jump = hooked.select(F.col("id").alias("_to"), F.col("_to").alias("root"))
+        moved = stage(
+            hooked.join(jump, "_to").select("id", "root", (F.col("root") != F.col("_old")).alias("_moved")),
+            "roots",
+        )
+        roots = moved.select("id", "root")
+        if moved.where("_moved").isEmpty():
             return roots
-        tops = follow_to_root(roots.select(F.col("root").alias("id")).distinct(), hooks)
-        moved = tops.select(F.col("id").alias("root"), F.col("root").alias("_top"))
-        roots = stage(roots.join(moved, "root").select("id", F.col("_top").alias("root")), "roots")
