@@ -25,7 +25,9 @@ _tables: dict[tuple[str, str, str], DataFrame] = {}
 def _once(spark: SparkSession, sf: str, name: str, make) -> DataFrame:
     at = (spark.sparkContext.applicationId, sf, name)
     if at not in _tables:
-        _tables[at] = stage(make(), name)
+        # one file per core, so that small tables are scanned in parallel too
+        lanes = spark.sparkContext.defaultParallelism
+        _tables[at] = stage(make().repartition(lanes), name)
     return _tables[at]
 
 

@@ -279,7 +279,7 @@ def sql() -> dict[str, str]:
         )
     )
     out["scaler_fit"] = over_sessions(
-        _union([f"SELECT '{c}' AS \"column\", {_r(f'avg({c})', 'mean')}, {_r(f'stddev_pop({c})', 'std')} FROM train" for c in SESSION_FEATURES])
+        _union([f"SELECT '{c}' AS \"column\", {_r(f'avg({c})', 'mean', 8)}, {_r(f'stddev_pop({c})', 'std', 8)} FROM train" for c in SESSION_FEATURES])
     )
     scaled = ", ".join(_r(_scaled(c), c) for c in SESSION_FEATURES)
     out["scale_train"] = over_sessions(f"SELECT t.session_id, {scaled} FROM train t CROSS JOIN fit f", FIT)
@@ -289,8 +289,9 @@ def sql() -> dict[str, str]:
     out["drift_compare"] = over_sessions(
         _union(
             [
-                f"SELECT '{c}' AS feature, {_r('a.m', 'train_mean')}, {_r('b.m', 'test_mean')}, {_r('a.d', 'train_std')}, "
-                f"{_r('b.d', 'test_std')}, {_r('abs(a.m - b.m) / (abs(a.m) + 1e-9) * 100', 'pct_diff')} "
+                f"SELECT '{c}' AS feature, {_r('a.m', 'train_mean', 8)}, {_r('b.m', 'test_mean', 8)}, "
+                f"{_r('a.d', 'train_std', 8)}, {_r('b.d', 'test_std', 8)}, "
+                f"{_r('abs(a.m - b.m) / (abs(a.m) + 1e-9) * 100', 'pct_diff', 8)} "
                 f"FROM (SELECT avg({c}) AS m, stddev_samp({c}) AS d FROM train) a, "
                 f"(SELECT avg({c}) AS m, stddev_samp({c}) AS d FROM test) b"
                 for c in SESSION_FEATURES

@@ -123,7 +123,7 @@ def session_imputer_fit(spark, sf):
 
 @query
 def scaler_fit(spark, sf):
-    return tidy(features.fit_scaler(fx.train(spark, sf)))
+    return tidy(features.fit_scaler(fx.train(spark, sf)), 8)
 
 
 @query
@@ -142,7 +142,7 @@ def scale_test(spark, sf):
 @query
 def drift_compare(spark, sf):
     out = features.compare_distributions(fx.train(spark, sf), fx.test(spark, sf))
-    return tidy(out.withColumnRenamed("%diff", "pct_diff"))
+    return tidy(out.withColumnRenamed("%diff", "pct_diff"), 8)
 
 
 @query

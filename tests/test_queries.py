@@ -35,7 +35,8 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-def test_filters_and_columns_reach_the_scan(spark, small):
-    plan = entry.queries()["session_rollup"](spark, small)._jdf.queryExecution().executedPlan().toString()
+def test_filters_and_columns_reach_the_scan(spark, small, capsys):
+    entry.queries()["session_rollup"](spark, small).explain("formatted")
+    plan = capsys.readouterr().out
     assert "GreaterThan(price,0.0)" in plan and "LessThanOrEqual(order,100)" in plan
     assert "price_2" not in plan and "event_id" not in plan
