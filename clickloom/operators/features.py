@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.columns import as_long, percent_gap, ratio_or_zero
+from clickloom.functions.columns import percent_gap, ratio_or_zero
 from clickloom.functions.ranking import shares
 from clickloom.schema import ENGINEERED_FEATURES, KEY, SESSION_CATEGORIES, SESSION_FEATURES
 from clickloom.sources.staging import stage
@@ -142,8 +142,3 @@ def mean_clicks(df: DataFrame, split: str = "split") -> DataFrame:
     return df.groupBy(split).agg(
         F.count(F.lit(1)).alias("sessions"), F.avg("clicks").alias("mean_clicks")
     )
-
-
-def long_features(df: DataFrame, columns: Sequence[str], id_column: str = "cluster") -> DataFrame:
-    """Rows (id, Feature, Value), one per cell."""
-    return as_long(df, [id_column], columns, "Feature", "Value")
