@@ -4,7 +4,7 @@ A text becomes a unit vector of hashed character n-grams (1 to 3 code points of
 the lower-cased text), weighted by (1 + log tf) * idf. Every language has
 several centroids, found by spherical k-means among its texts. A text takes the
 language of the centroid with the highest cosine, and is rejected when that
-cosine lies below what the centroid's own texts reach.
+cosine lies far below what the centroid's own texts reach.
 
 Defined results: a text that is null or holds no letter gets ``und``, score 0
 and is rejected. Equal cosines go to the first language in alphabetical order.
@@ -33,6 +33,8 @@ ROUNDS = 6
 SAMPLE_PER_LANGUAGE = 1500
 #: A centroid rejects texts below this share of its low quantile of cosines.
 SLACK = 0.5
+#: Letters from which on the whole floor is asked for; the cosines of shorter texts are lower by nature.
+FULL_SIZE = 120
 LOW_QUANTILE = 0.005
 #: Code points of a text counted at a time.
 CHUNK = 1 << 20
@@ -45,14 +47,8 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
-def has_letter(text: str) -> bool:
-    return any(map(str.isalpha, text)) if len(text) < 64 else bool(
-        _letters()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)].any()
-    )
-
-
-def count_ngrams(text: str) -> np.ndarray:
-    """How often each n-gram bucket occurs in the whole text."""
+def count_ngrams(text: str) -> tuple[np.ndarray, int]:
+    """How often each n-gram bucket occurs in the whole text, and its number of letters."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     letters = _letters()[points]
     # a run of anything but letters is one blank: digits, signs and lay-out say nothing of a language
@@ -65,26 +61,26 @@ def count_ngrams(text: str) -> np.ndarray:
         three = (two[:-1] ^ (c[2:] * np.uint32(0xC2B2AE3D))) * np.uint32(0x297A2D39)
         for grams in (one, two, three):
             counts += np.bincount(grams[:end] >> np.uint32(20), minlength=DIMENSIONS)
-    return counts
+    return counts, int(letters.sum())
 
 
-def vectors(texts: list[str | None], idf: np.ndarray) -> np.ndarray:
-    """Unit rows; a zero row for a text without n-grams."""
-    out = np.zeros((len(texts), DIMENSIONS), np.float32)
-    for row, text in zip(out, texts, strict=True):
-        if text:
-            counts = count_ngrams(text)
+def vectors(texts: list[str | None], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit rows, zero for a text without letters, and the numbers of letters."""
+    out, sizes = np.zeros((len(texts), DIMENSIONS), np.float32), np.zeros(len(texts), np.int64)
+    for i, (row, text) in enumerate(zip(out, texts, strict=True)):
+        counts, sizes[i] = count_ngrams(text or "")
+        if sizes[i]:
             at = np.flatnonzero(counts)
             row[at] = (1 + np.log(counts[at])) * idf[at]
             row /= max(float(np.linalg.norm(row)), 1e-30)
-    return out
+    return out, sizes
 
 
 def _document_frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen, texts = np.zeros(DIMENSIONS, np.int64), 0
     for batch in slices(batches):
         for text in batch.column("text").to_pylist():
-            seen += count_ngrams(text) > 0
+            seen += count_ngrams(text)[0] > 0
             texts += 1
     yield pa.RecordBatch.from_pydict(
         {"bucket": np.arange(-1, DIMENSIONS, dtype=np.int32), "df": np.concatenate([[texts], seen])}
@@ -95,13 +91,10 @@ def _cluster(idf: np.ndarray):
     def fit(table: pa.Table) -> pa.Table:
         """Centroids of one language; its texts are at most the sample."""
         table = table.sort_by("order")
-        x = vectors(table.column("text").to_pylist(), idf)
+        x, _ = vectors(table.column("text").to_pylist(), idf)
         x = x[np.linalg.norm(x, axis=1) > 0]
         k = min(CLUSTERS, len(x))
-        # the first text, then each time the text farthest from all centroids so far
-        centers = x[:1]
-        while len(centers) < k:
-            centers = np.vstack([centers, x[np.argmin((x @ centers.T).max(axis=1))]])
+        centers = x[:k]  # in the order of a hash: texts drawn at random
         for _ in range(ROUNDS):
             near = (x @ centers.T).argmax(axis=1) if k else np.zeros(0, int)
             sums = np.stack([x[near == j].sum(axis=0) if (near == j).any() else centers[j] for j in range(k)]) if k else centers
@@ -158,14 +151,15 @@ def identify(docs: DataFrame, model: dict, out: tuple[str, str, str] = ("lang_pr
         m = sent.value
         for batch in slices(batches, 128):
             texts = batch.column("text").to_pylist()
-            letters = np.array([bool(t) and has_letter(t) for t in texts], bool) if len(m["langs"]) else np.zeros(len(texts), bool)
+            x, sizes = vectors(texts, m["idf"])
+            letters = (sizes > 0) & bool(len(m["langs"]))
             best, score, rejected = np.zeros(len(texts), int), np.zeros(len(texts)), np.ones(len(texts), bool)
             if letters.any():
                 at = np.flatnonzero(letters)
-                cos = vectors([texts[i] for i in at], m["idf"]) @ m["centers"].T
+                cos = x[at] @ m["centers"].T
                 best[at] = cos.argmax(axis=1)
                 score[at] = np.clip(cos.max(axis=1), 0, 1)
-                rejected[at] = score[at] < m["floors"][best[at]]
+                rejected[at] = score[at] < m["floors"][best[at]] * np.minimum(1, np.sqrt(sizes[at] / FULL_SIZE))
             langs = [m["langs"][b] if ok else UNKNOWN for b, ok in zip(best, letters, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in fields], pa.array(langs, pa.string()), pa.array(score), pa.array(rejected)], names=[*fields, *out]
