@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, language_id, language_model, packing, quality_classifier
+from clickloom.llm import bpe, language_id, language_model, packing, quality_classifier, quality_rules, simhash, url_filters
 from clickloom.llm.common import documents, remainder
 from clickloom.sources.staging import stage
 
@@ -61,3 +61,52 @@ def op7_lm_scoring(spark, sf):
 @query
 def op8_packing(spark, sf):
     return packing.pack_documents(documents(spark, sf), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+FIRST_DAY = "2024-01-01"
+
+
+def captures(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page as a capture, with a fetch day that follows from its id."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    day = F.date_add(F.lit(FIRST_DAY).cast("date"), (F.col("page_id") * 13 % 365).cast("int"))
+    return pages.select("page_id", "url", day.alias("fetched"))
+
+
+def list_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """Dated entries of two lists, derived from the pages: hosts of every fifth page, sections of every seventh."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet").where("page_id IS NOT NULL")
+    url, id_ = F.col("url"), F.col("page_id")
+    day = F.date_add(F.lit(FIRST_DAY).cast("date"), (id_ * 29 % 365).cast("int"))
+    domains = pages.where(id_ % 5 == 0).select(
+        F.lit("blocked").alias("list"), F.concat(F.lit("domain:"), url_filters.host_of(url)).alias("pattern"),
+        day.alias("day"), (F.floor(id_ / 5) % 3 != 0).alias("added"),
+    )
+    section = F.element_at(url_filters.patterns_of(url), -1)
+    sections = pages.where(id_ % 7 == 0).select(
+        F.lit("spam").alias("list"), F.when(section.startswith("section:"), section).alias("pattern"),
+        day.alias("day"), (F.floor(id_ / 7) % 2 == 0).alias("added"),
+    )
+    return domains.unionByName(sections)
+
+
+@query
+def op3_url_filters(spark, sf):
+    return url_filters.judge(captures(spark, sf), list_entries(spark, sf))
+
+
+@query
+def op6_simhash_near_dedup(spark, sf):
+    found = simhash.near_duplicates(documents(spark, sf))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def trusted_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1").select("doc_id")
+
+
+@query
+def op10_quality_rules(spark, sf):
+    docs = documents(spark, sf).select("doc_id", "text")
+    ratios = quality_rules.log_ratios(docs, trusted_ids(spark, sf))
+    return quality_rules.judge(docs, ratios).drop("text")
