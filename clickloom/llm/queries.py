@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, language_id, language_model, packing, quality_classifier, quality_rules, simhash, url_filters
+from clickloom.llm import (
+    bpe, embedding_dedup, language_id, language_model, packing, quality_classifier, quality_rules, simhash, suffix_dedup, url_filters,
+)
 from clickloom.llm.common import documents, remainder
 from clickloom.sources.staging import stage
 
@@ -110,3 +112,14 @@ def op10_quality_rules(spark, sf):
     docs = documents(spark, sf).select("doc_id", "text")
     ratios = quality_rules.log_ratios(docs, trusted_ids(spark, sf))
     return quality_rules.judge(docs, ratios).drop("text")
+
+
+@query
+def op2_suffix_array_dedup(spark, sf):
+    docs = documents(spark, sf).select("doc_id", "text")
+    return suffix_dedup.deduplicate(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op9_embedding_near_dedup(spark, sf):
+    return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf}/embeddings.parquet"))
