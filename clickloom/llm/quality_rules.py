@@ -26,28 +26,32 @@ BUCKETS = 1 << 16
 #: Bound of the trusted ids that are broadcast.
 TRUSTED_ROWS = 20_000
 #: Added to every bucket's count.
-ADD = 1.0
-THRESHOLD = -0.09
+ADD = 4.0
+THRESHOLD = -0.07
 #: Base rule (fixed values).
 LEAST_WORDS, MOST_REPEATED, WINDOW = 50, 50, 3
-BLANKS, SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
-OWN = ["_text", "_words", "_lines", "_windows", "_sorted", "_again", "_grams", "_trusted", "_ratios", "_one"]
+BLANKS, SYMBOLS = " \t\n\x0b\x0c\r", "[#*$%&|<>]"
+OWN = ["_text", "_words", "_hashes", "_lines", "_windows", "_sorted", "_again", "_grams", "_trusted", "_ratios", "_one", "_row"]
 
 
 def words_of(text: Column) -> Column:
-    return F.array_remove(F.split(F.translate(text, BLANKS, " " * len(BLANKS)), " "), "")
+    return F.array_remove(F.split(text, f"[{BLANKS}]+"), "")
 
 
-def grams_of(words: Column) -> Column:
-    """Buckets of all words and adjacent pairs."""
-    bucket = lambda *w: F.pmod(F.xxhash64(*w), F.lit(BUCKETS)).cast("int")
-    single = F.transform(words, lambda w: bucket(w))
-    pairs = F.transform(words, lambda w, i: bucket(w, F.get(words, i + 1)))
-    return F.concat(single, F.slice(pairs, 1, F.greatest(F.size(words) - 1, F.lit(0))))
+def windows_of(hashes: Column, size: int) -> Column:
+    """Hashes of all runs of ``size`` adjacent words."""
+    runs = F.transform(hashes, lambda h, i: F.xxhash64(h, *[F.get(hashes, i + k) for k in range(1, size)]))
+    return F.slice(runs, 1, F.greatest(F.size(hashes) - (size - 1), F.lit(0)))
 
 
-def _with_text(docs: DataFrame, text_col: str) -> DataFrame:
-    return docs.withColumn("_text", F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).withColumn("_words", words_of(F.col("_text")))
+def bucket(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+
+
+def _with_hashes(docs: DataFrame, text_col: str) -> DataFrame:
+    """Adds the text without null, its words, and the words' hashes."""
+    docs = docs.withColumn("_text", F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).withColumn("_words", words_of(F.col("_text")))
+    return docs.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -57,15 +61,16 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
     stand for the target. The corpus counts cover all of ``docs``.
     """
     chosen = sample_below(trusted.select(F.col(id_col).alias("_id")).where("_id IS NOT NULL").distinct(), "_id", TRUSTED_ROWS)
-    rows = _with_text(docs.select(F.col(id_col).alias("_id"), F.col(text_col)), text_col)
+    rows = _with_hashes(docs.select(F.col(id_col).alias("_id"), F.col(text_col)), text_col)
     rows = rows.join(F.broadcast(chosen.withColumn("_trusted", F.lit(1))), "_id", "left")  # bounded above
-    grams = rows.select("_trusted", F.explode(grams_of(F.col("_words"))).alias("bucket"))
+    hashes = F.col("_hashes")
+    grams = rows.select("_trusted", F.explode(F.concat(hashes, windows_of(hashes, 2))).alias("h")).select("_trusted", bucket(F.col("h")).alias("bucket"))
     counts = stage(grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("target")), "buckets")
     sums = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
     raw, target = sums["raw"] or 0, sums["target"] or 0
-    none = F.lit(0.0)
-    share = lambda n, total: F.log((F.coalesce(n, F.lit(0)) + ADD) / (total + ADD * BUCKETS))
-    ratio = share(F.col("target"), target) - share(F.col("raw"), raw) if target else none
+    # the corpus counts at the target's size, so that both are smoothed alike and rare buckets say little
+    expected = F.coalesce("raw", F.lit(0)) * F.lit(target / max(raw, 1))
+    ratio = F.log((F.coalesce("target", F.lit(0)) + ADD) / (expected + ADD))
     every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     table = every.join(counts, "bucket", "left").select("bucket", ratio.alias("ratio"))
     return table.agg(F.sort_array(F.collect_list(F.struct("bucket", "ratio"))).alias("x")).select(F.col("x.ratio").alias("ratios"))
@@ -75,15 +80,12 @@ def judge(docs: DataFrame, ratios: DataFrame, text_col: str = "text", threshold:
     """``docs`` with the base counts, the score and the verdict; columns of these names are replaced."""
     out = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "ratio_score", "kept"]
     keep = [c for c in docs.columns if c not in [*out, *OWN]]
-    rows = _with_text(docs.select(*[f"`{c}`" for c in docs.columns if c == text_col or c in keep]), text_col)
-    words, text = F.col("_words"), F.col("_text")
-    n = F.size(words)
+    rows = _with_hashes(docs.select(*[f"`{c}`" for c in docs.columns if c == text_col or c in keep]), text_col)
+    hashes, text = F.col("_hashes"), F.col("_text")
     rows = rows.select(
-        *[F.col(f"`{c}`") for c in keep], "_text", "_words",
-        F.filter(F.split(text, "\n"), lambda x: F.translate(x, BLANKS, "") != "").alias("_lines"),
-        F.slice(
-            F.transform(words, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2))), 1, F.greatest(n - (WINDOW - 1), F.lit(0))
-        ).alias("_windows"),
+        *[F.col(f"`{c}`") for c in keep], "_text", "_words", "_hashes",
+        F.filter(F.split(text, "\n"), lambda x: F.trim(x, F.lit(BLANKS)) != "").alias("_lines"),
+        windows_of(hashes, WINDOW).alias("_windows"),
     )
     windows = F.col("_windows")
     # windows in order of their hash, only where one occurs twice
@@ -103,16 +105,18 @@ def judge(docs: DataFrame, ratios: DataFrame, text_col: str = "text", threshold:
     covered = F.transform(again, lambda p, k: F.least(F.lit(WINDOW), F.coalesce(F.get(again, k + 1) - p, F.lit(WINDOW))))
     count = lambda x: x.cast("long")
     rows = rows.select(
-        *[F.col(f"`{c}`") for c in keep], count(n).alias("n_words"),
-        count(F.length(F.translate(text, BLANKS, ""))).alias("word_chars"),
-        count(F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).alias("n_symbols"),
+        *[F.col(f"`{c}`") for c in keep], count(F.size("_words")).alias("n_words"),
+        count(F.length(F.array_join("_words", ""))).alias("word_chars"),
+        count(F.regexp_count(text, F.lit(SYMBOLS))).alias("n_symbols"),
         count(F.size("_lines") - F.size(F.array_distinct("_lines"))).alias("n_dup_lines"),
         count(F.coalesce(F.aggregate(covered, F.lit(0), lambda a, x: a + x), F.lit(0))).alias("n_repeat_words"),
-        grams_of(words).alias("_grams"),
+        F.concat(hashes, windows_of(hashes, 2)).alias("_grams"), F.monotonically_increasing_id().alias("_row"),
     )
     # the one row of ratios reaches every document
     rows = rows.withColumn("_one", F.lit(1)).join(F.broadcast(ratios.select(F.lit(1).alias("_one"), F.col("ratios").alias("_ratios"))), "_one")
-    total = F.aggregate("_grams", F.lit(0.0), lambda a, b: a + F.get("_ratios", b))
+    total = F.aggregate("_grams", F.lit(0.0), lambda a, h: a + F.get("_ratios", bucket(h)))
     rows = rows.withColumn("ratio_score", F.when(F.size("_grams") > 0, total / F.size("_grams")).otherwise(F.lit(0.0))).drop("_grams", "_ratios", "_one")
+    # a filter on the verdict must not be moved below this: it would take the arrays' definitions into the look-ups
+    rows = rows.where("_row >= 0").drop("_row")
     rows = rows.withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("ratio_score") >= threshold))

@@ -270,10 +270,29 @@ def components(fps: DataFrame, tau: int = 3) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, tau: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (id, fp, component_id), one per document; component_id is the smallest linked id."""
-    staged = stage(fingerprints(docs.select(id_col, text_col), shingle, text_col).select(id_col, "fp"), "documents")
+    """Rows (id, h, fp, component_id, root), one per document.
+
+    component_id is the smallest linked id; root, a fingerprint, names the same
+    group also where ids repeat. h is xxhash64 of the text.
+    """
+    rows = docs.select(id_col, text_col, F.xxhash64(text_col).alias("h"))
+    staged = stage(fingerprints(rows, shingle, text_col).select(id_col, "h", "fp"), "documents")
     lowest = staged.groupBy("fp").agg(F.min(id_col).alias("_id"))
     found = stage(components(lowest.select("fp"), tau).join(lowest, "fp"), "components")
     ids = found.groupBy("root").agg(F.min("_id").alias("component_id"))
-    named = found.join(ids, "root").select("fp", "component_id")
-    return staged.join(named, "fp").select(id_col, "fp", "component_id")
+    named = found.join(ids, "root").select("fp", "component_id", "root")
+    return staged.join(named, "fp").select(id_col, "h", "fp", "component_id", "root")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, tau: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each group: the one with the smallest id, then text hash; of repeated rows any one."""
+    found = near_duplicates(docs, shingle, tau, id_col, text_col)
+    copies = found.groupBy("root", F.struct(F.col(id_col).alias("id"), "h").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    # null ids last
+    last = F.struct(F.col("key.id").isNull(), F.col("key.id"), F.col("key.h"))
+    chosen = stage(copies.groupBy("root").agg(F.min_by(F.struct("key.*", "n"), last).alias("k")).select("k.*"), "chosen")
+    rows = docs.withColumn("_h", F.xxhash64(text_col))
+    chosen_rows = rows.join(chosen.alias("k"), F.col(id_col).eqNullSafe(F.col("k.id")) & (F.col("_h") == F.col("k.h")))
+    once = chosen_rows.where("n = 1").select(docs.columns)
+    again = chosen_rows.where("n > 1").dropDuplicates([id_col, "_h"]).select(docs.columns)
+    return once.unionByName(again)

@@ -388,14 +388,14 @@ def without(data: bytes, found: list[dict] | None) -> tuple[bytes, int, int]:
 
 
 def deduplicate(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with columns kept (binary), n_bytes, n_removed, n_spans and kept_sha256; columns of these names are replaced."""
+    """``docs`` with columns kept (binary), kept_text (without characters cut in two), n_bytes, n_removed, n_spans and kept_sha256; columns of these names are replaced."""
     found = repeated_spans(docs, length, id_col, text_col)
-    out = ["kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    out = ["kept", "kept_text", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     keep = [c for c in docs.columns if c not in out]
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_h"))
     on = F.col("_id").eqNullSafe(F.col("_f.id")) & (F.col("_h") == F.col("_f.h"))
     joined = rows.join(found.alias("_f"), on, "left").select(*[f"`{c}`" for c in keep], F.col("found").alias("_found"))
-    schema = extended(docs.select(*[f"`{c}`" for c in keep]).schema, ("kept", "binary"), ("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string"))
+    schema = extended(docs.select(*[f"`{c}`" for c in keep]).schema, ("kept", "binary"), ("kept_text", "string"), ("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
@@ -403,8 +403,8 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", t
             for text, spans in zip(batch.column(text_col).to_pylist(), batch.column("_found").to_pylist(), strict=True):
                 data = data_of(text)
                 rest, removed, runs = without(data, spans)
-                rows.append((rest, len(data), removed, runs, hashlib.sha256(rest).hexdigest()))
-            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+                rows.append((rest, rest.decode("utf-8", "ignore"), len(data), removed, runs, hashlib.sha256(rest).hexdigest()))
+            kinds = [pa.binary(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in keep], *[pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]], names=[*keep, *out]
             )
