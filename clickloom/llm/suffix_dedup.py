@@ -299,7 +299,7 @@ def _cut(width: int, length: int):
 def _only_repeated(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of segments (anchor, seg, n, ...): those that may hold repeated windows, few and many to an anchor."""
     sums = rows.groupBy("anchor").agg(F.sum("n").alias("_n"), F.count(F.lit(1)).alias("_segments"))
-    kept = rows.join(sums.where("_n > 1"), "anchor")
+    kept = rows.join(stage(sums.where("_n > 1"), "sums"), "anchor")
     return kept.where(F.col("_segments") <= MOST_SEGMENTS).drop("_n", "_segments"), kept.where(F.col("_segments") > MOST_SEGMENTS).drop("_n", "_segments")
 
 
@@ -316,11 +316,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     id_type = rows.schema["id"].dataType.simpleString()
     where = f"anchor long, seg long, id {id_type}, h long, first int, windows int, place int"
     places = stage(rows.mapInArrow(_anchors(length), where), "places")
-    distinct = places.groupBy("anchor", "seg").agg(
+    # a written table: the join then reads plain exchanges, of which Spark can split a hot anchor's
+    several = stage(places.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("anchor"), "several")
+    # grouped by one column of its own, so that the grouping does not lean on the join's exchange
+    distinct = places.join(several, "anchor").groupBy(F.struct("anchor", "seg").alias("key")).agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "h", "first", "windows", "place")).alias("at")
     )
-    sums = distinct.groupBy("anchor").agg(F.sum("n").alias("_n")).where("_n > 1").select("anchor")
-    wanted = distinct.join(sums, "anchor").select("anchor", "seg", "n", "at.*")
+    wanted = distinct.select("key.*", "n", "at.*")
     # the bytes of one copy of each such segment
     by_text = wanted.groupBy("id", "h").agg(F.collect_list(F.struct("anchor", "seg", "n", "first", "windows", "place")).alias("segments"))
     same = lambda a, b: F.col(f"{a}.id").eqNullSafe(F.col(f"{b}.id")) & (F.col(f"{a}.h") == F.col(f"{b}.h"))
@@ -342,7 +344,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         merged = children.groupBy(F.col("child").alias("anchor"), F.col("part").alias("seg")).agg(
             F.first("windows").alias("windows"), F.first("place").alias("place"), F.first("bytes").alias("bytes"), F.sum("n").alias("n")
         )
-        few, many = _only_repeated(merged)
+        few, many = _only_repeated(stage(merged, "merged"))
         pools.append(few)
     sortable = pools[0]
     for pool in pools[1:]:
