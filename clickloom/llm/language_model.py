@@ -47,8 +47,8 @@ BITS_PER_ENTRY, HASHES = 5, 3
 TOKENS_PER_BLOCK = 1 << 17
 #: Bound of the broadcast table of exact counts.
 FREQUENT = 1 << 16
-#: Tokens that a task counts before it passes the counts on, and words whose hash it remembers.
-FLUSH, REMEMBERED = 1 << 20, 300_000
+#: Tokens that a task counts before it passes the counts on.
+FLUSH = 1 << 20
 ADD, DIRICHLET = 0.1, 200.0
 #: Counts up to 4 have levels of their own; above, a level is a factor of 1.25.
 EXACT_LEVELS, STEP, MOST_LEVEL = 4, 1.25, 160
@@ -57,24 +57,11 @@ END = np.uint64(0x5BD1E9955BD1E995)
 SLICE = 256
 
 
-class Hashes(dict):
-    """Word -> 64-bit hash."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_hashes = Hashes()
-
-
 def tokens(text: str | None) -> np.ndarray:
     """Hashes of a text's words, A-Z lower-cased, and of its end."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     out = np.empty(len(words) + 1, np.uint64)
-    out[:-1] = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    out[:-1] = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8")
     out[-1] = END
     return out
 
