@@ -220,8 +220,11 @@ POSTING = "part int, value long, fp long, root long"
 
 
 def parts_for(rows: int, tau: int) -> int:
-    """As many partitions as leave each one's values about as many as there are fingerprints."""
-    return max(2, min(tau + 1, int(BITS / max(1.0, math.log2(max(rows, 2))))))
+    """tau partitions, fewer and wider ones when there are so many fingerprints that values would be crowded.
+
+    Not tau + 1: their thresholds would all be 0, and the sum leaves nothing to allocate.
+    """
+    return max(2, min(tau, int(1.25 * BITS / max(1.0, math.log2(max(rows, 2))))))
 
 
 def block_links(fps: DataFrame, tau: int) -> DataFrame:
