@@ -94,7 +94,8 @@ def list_entries(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op3_url_filters(spark, sf):
-    return url_filters.judge(captures(spark, sf), list_entries(spark, sf))
+    judged = url_filters.judge(captures(spark, sf), list_entries(spark, sf))
+    return judged.withColumns({c: F.col(c).cast("string") for c in ("fetched", "listed_since")})
 
 
 @query
