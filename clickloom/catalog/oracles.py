@@ -83,7 +83,7 @@ def _r(expression: str, name: str, digits: int = 6) -> str:
 
 def _scaled(column: str, table: str = "t") -> str:
     return (
-        f"CASE WHEN f.sd_{column} = 0 THEN 0 ELSE ({table}.{column} - f.m_{column}) / f.sd_{column} END"
+        f"({table}.{column} - f.m_{column}) / CASE WHEN f.sd_{column} = 0 THEN 1 ELSE f.sd_{column} END"
     )
 
 
@@ -282,6 +282,9 @@ def sql() -> dict[str, str]:
         _union([f"SELECT '{c}' AS \"column\", {_r(f'avg({c})', 'mean', 8)}, {_r(f'stddev_pop({c})', 'std', 8)} FROM train" for c in SESSION_FEATURES])
     )
     scaled = ", ".join(_r(_scaled(c), c) for c in SESSION_FEATURES)
+    out["scale_constant_column"] = over_sessions(
+        f"SELECT t.session_id, {_r(_scaled('clicks'), 'clicks')}, CAST(t.clicks AS DOUBLE) - 5.0 AS flat FROM test t CROSS JOIN fit f", FIT
+    )
     out["scale_train"] = over_sessions(f"SELECT t.session_id, {scaled} FROM train t CROSS JOIN fit f", FIT)
     out["scale_test"] = over_sessions(
         f"SELECT t.session_id, {scaled}, country_mode, page1_mode FROM test t CROSS JOIN fit f", FIT
@@ -322,7 +325,7 @@ def sql() -> dict[str, str]:
     out["freq_encode_test"] = over_sessions(
         f"SELECT session_id, t.country_mode, {_r('coalesce(share, 0)', 'country_mode_freq_enc')} "
         "FROM test t LEFT JOIN fl ON t.country_mode = fl.country_mode",
-        ",\nlong_train AS (SELECT * FROM train WHERE clicks >= 5)" + _shares("country_mode", "long_train", "fl"),
+        _shares("country_mode", "train", "fl"),
     )
     whole = {"clicks", "pages_nunique", "distinct_models", "bounce", "page_depth"}
     cells = [

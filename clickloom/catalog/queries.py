@@ -37,6 +37,8 @@ _registered: dict[str, Query] = {}
 
 IMPUTED_NUMBERS = ["order", "country", "price", "price_2", "page"]
 IMPUTED_TEXTS = ["page1_main_category", "page2_clothing_model"]
+WARD_TAIL = 256
+EVENT_KINDS = ["click", "error", "purchase", "signup", "view"]
 SWEEP = range(models.MIN_K, models.MAX_K + 1)
 
 
@@ -132,6 +134,14 @@ def scale_train(spark, sf):
     return tidy(features.apply_scaler(train, features.fit_scaler(train)))
 
 
+@query
+def scale_constant_column(spark, sf):
+    """A column that is 5 in all of train is only moved: its scale counts as 1."""
+    train = fx.train(spark, sf).select(KEY, "clicks", F.lit(5.0).alias("flat"))
+    test = fx.test(spark, sf).select(KEY, "clicks", F.col("clicks").cast("double").alias("flat"))
+    return tidy(features.apply_scaler(test, features.fit_scaler(train, ["clicks", "flat"])))
+
+
 @query
 def scale_test(spark, sf):
     fitted = features.fit_scaler(fx.train(spark, sf))
@@ -172,9 +182,7 @@ def freq_encode_train(spark, sf):
 
 @query
 def freq_encode_test(spark, sf):
-    # fitted on the long sessions only, so that some test values are unseen
-    fit_on = fx.train(spark, sf).where(F.col("clicks") >= 5)
-    _, test = features.frequency_encode(fit_on, fx.test(spark, sf), "country_mode")
+    _, test = features.frequency_encode(fx.train(spark, sf), fx.test(spark, sf), "country_mode")
     return tidy(test.select(KEY, "country_mode", "country_mode_freq_enc"))
 
 
@@ -294,7 +302,7 @@ def cluster_kde(spark, sf):
 
 @query
 def category_crosstab(spark, sf):
-    return profile.crosstab(fx.sessions(spark, sf), "page1_mode")
+    return profile.crosstab(fx.sessions(spark, sf), "page1_mode", EVENT_KINDS)
 
 
 @query
@@ -455,7 +463,8 @@ def dbscan_labels_scaled(spark, sf):
 
 @query
 def ward_labels(spark, sf):
-    return ward(fx.engineered(spark, sf), ENGINEERED_FEATURES, [2, 3])
+    # a short tail, so that the rounds over the whole table do the merging here too
+    return ward(fx.engineered(spark, sf), ENGINEERED_FEATURES, [2, 3], tail=WARD_TAIL)
 
 
 @query
@@ -493,7 +502,7 @@ def score_new_clicks(spark, sf):
     folder = fresh_path(spark, "scored")
     train, test = _raw_split(spark, sf)
     prepared = prepare_imputed(train, test, f"{folder}/prepared")
-    kmeans_only(prepared.train_scaled, prepared.test_scaled, f"{folder}/model", ks=[2, 3, 4], restarts=2)
+    kmeans_only(prepared.train_scaled, prepared.test_scaled, f"{folder}/model")
     artifacts = load_artifacts(spark, f"{folder}/model", f"{folder}/prepared")
     return tidy(score_clicks(test, artifacts).profile)
 
@@ -505,7 +514,7 @@ def train_and_profile(spark, sf):
     log = RunLog(spark, f"{folder}/run_log", "clusters", "all")
     prepared = prepare_filtered(*_raw_split(spark, sf, gaps=False), folder, log)
     train, _ = engineer_features(prepared, folder, log)
-    clustered = cluster_sessions(train, folder, log, ks=[2, 3], restarts=2)
+    clustered = cluster_sessions(train, folder, log)
     return profile_clusters(clustered, folder)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.sources.staging import stage
+from clickloom.sources.staging import discard, stage
 
 
 def follow_to_root(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -19,13 +19,16 @@ def follow_to_root(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         ),
         "roots",
     )
+    last = roots
     while True:
         onward = roots.select(F.col("id").alias("root"), F.col("root").alias("_next"))
         moved = stage(
             roots.join(onward, "root").select("id", F.col("_next").alias("root"), (F.col("_next") != F.col("root")).alias("_moved")),
             "roots",
         )
-        roots = moved.select("id", "root")
+        # the round is written: what it was made from is not read again
+        discard(last)
+        last, roots = moved, moved.select("id", "root")
         if moved.where("_moved").isEmpty():
             return roots
 
@@ -42,6 +45,7 @@ def connected(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     links = stage(links.where(F.col("a") != F.col("b")).distinct(), "links")
     roots = stage(nodes.select("id", F.col("id").alias("root")).distinct(), "roots")
     none = F.lit(None).cast("bigint")
+    last = roots
     while True:
         to = roots.select(F.col("id").alias("b"), F.col("root").alias("_low"))
         lowest = links.join(to, "b").groupBy(F.col("a").alias("id")).agg(F.min("_low").alias("_low"))
@@ -55,6 +59,9 @@ def connected(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             hooked.join(jump, "_to").select("id", "root", (F.col("root") != F.col("_old")).alias("_moved")),
             "roots",
         )
-        roots = moved.select("id", "root")
+        # the round is written: what it was made from is not read again
+        discard(last)
+        last, roots = moved, moved.select("id", "root")
         if moved.where("_moved").isEmpty():
+            discard(links)
             return roots

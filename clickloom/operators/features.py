@@ -27,7 +27,7 @@ def fit_scaler(df: DataFrame, columns: Sequence[str] = SESSION_FEATURES) -> Data
 def apply_scaler(
     df: DataFrame, params: DataFrame, keep: Sequence[str] = (KEY,), in_place: bool = False
 ) -> DataFrame:
-    """(x - mean) / std per fitted column; a constant column becomes 0.
+    """(x - mean) / std per fitted column; a constant column is only moved, its scale counts as 1.
 
     ``params`` has one row per feature, so it is read here and the scaling is
     a plain projection. ``in_place`` keeps all other columns of the table.
@@ -37,7 +37,7 @@ def apply_scaler(
         if row["mean"] is None:
             continue
         shifted = F.col(row["column"]).cast("double") - F.lit(row["mean"])
-        scaled[row["column"]] = shifted / F.lit(row["std"]) if row["std"] else shifted * F.lit(0.0)
+        scaled[row["column"]] = shifted / F.lit(row["std"] or 1.0)
     if in_place:
         return df.withColumns(scaled)
     return df.select(*keep, *[c.alias(name) for name, c in scaled.items()])

@@ -17,7 +17,6 @@ from clickloom.schema import (
     require_columns,
 )
 
-MOST_PIVOT_VALUES = 1000
 
 
 def cluster_sizes(df: DataFrame, label: str = CLUSTER) -> DataFrame:
@@ -90,20 +89,13 @@ def melt(df: DataFrame, columns: Sequence[str], label: str = CLUSTER) -> DataFra
     return as_long(df, [label], columns, "Feature", "Value")
 
 
-def crosstab(
-    df: DataFrame, column: str, values: Sequence | None = None, label: str = CLUSTER
-) -> DataFrame:
-    """Counts per cluster with a column for each value, zero where there is none."""
-    if values is None:
-        found = df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
-        values = [r[0] for r in found.limit(MOST_PIVOT_VALUES + 1).collect()]
-        if len(values) > MOST_PIVOT_VALUES:
-            raise ValueError(f"{column} has too many values for columns; use category_counts")
+def crosstab(df: DataFrame, column: str, values: Sequence, label: str = CLUSTER) -> DataFrame:
+    """Counts per cluster with a column for each of the named values, zero where there is none.
+
+    ``category_counts`` has the counts of all values, however many there are.
+    """
     present = df.where(F.col(column).isNotNull())
-    wide = present.groupBy(label).agg(
-        *[F.count_if(F.col(column) == F.lit(v)).alias(str(v)) for v in values]
-    )
-    return wide
+    return present.groupBy(label).agg(*[F.count_if(F.col(column) == F.lit(v)).alias(str(v)) for v in values])
 
 
 def category_counts(df: DataFrame, column: str, label: str = CLUSTER) -> DataFrame:

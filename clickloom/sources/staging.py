@@ -10,10 +10,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+#: The folder of each staged table that is still referred to.
+_paths: dict[int, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -39,4 +42,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and return the table read back."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[id(table)] = path
+    weakref.finalize(table, _paths.pop, id(table), None)
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a staged table that nothing reads any more; any other table is left alone."""
+    path = _paths.pop(id(table), None)
+    if path is not None:
+        context = table.sparkSession.sparkContext
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)

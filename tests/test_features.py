@@ -33,10 +33,12 @@ def test_numeric_mode_compares_numbers(spark):
     assert cleaning.fit_imputer(df, [], ["c"]).first()["str_value"] == "9"
 
 
-def test_scaler_constant_column_is_zero(spark):
+def test_scaler_moves_a_constant_column(spark):
     df = spark.createDataFrame([(1, 1.0, 5.0), (2, 3.0, 5.0)], "session_id bigint, a double, b double")
     out = features.apply_scaler(df, features.fit_scaler(df, ["a", "b"]))
     assert [tuple(r) for r in out.orderBy("session_id").collect()] == [(1, -1.0, 0.0), (2, 1.0, 0.0)]
+    other = spark.createDataFrame([(3, 2.0, 9.0)], df.schema)
+    assert features.apply_scaler(other, features.fit_scaler(df, ["a", "b"])).first()["b"] == 4.0
 
 
 def test_suffix_join_keeps_plain_names_for_the_right(spark):

@@ -39,7 +39,7 @@ def test_full_profile_and_crosstab(spark):
     df = labelled(spark).selectExpr("*", "0.0 as mean_price", "0.0 as max_price", "0 as distinct_models", "7 as country_mode")
     row = profile.full_profile(df).where("cluster = 1").first()
     assert [tuple(c) for c in row["top_categories"]] == [("b", 2), ("a", 1)]
-    wide = {r["cluster"]: (r["a"], r["b"]) for r in profile.crosstab(df, "page1_mode").collect()}
+    wide = {r["cluster"]: (r["a"], r["b"]) for r in profile.crosstab(df, "page1_mode", ["a", "b"]).collect()}
     assert wide == {0: (2, 0), 1: (1, 2)}
 
 
