@@ -474,11 +474,12 @@ box AS (SELECT cluster, feature, quantile_cont(v, 0.25) AS q1, quantile_cont(v,
         "CAST(NULL AS DOUBLE) AS calinski_harabasz FROM s GROUP BY 1"
     )
     out["select_best_model"] = over_sessions(
-        """SELECT Model, k, round(silhouette, 6) AS Silhouette, round(davies_bouldin, 6) AS DaviesBouldin FROM (
-  SELECT 2 AS place, 'GMM' AS Model, 2 AS k, silhouette, davies_bouldin FROM sil_bounce, db_bounce
-  UNION ALL SELECT 1, 'KMeans', 3, silhouette, davies_bouldin FROM sil_cluster, db_cluster
-  UNION ALL SELECT 1, 'KMeans', 2, silhouette, davies_bouldin FROM sil_bounce, db_bounce
-  UNION ALL SELECT 4, 'Agglomerative', 3, silhouette, davies_bouldin FROM sil_cluster, db_cluster)
+        """SELECT Model, k, round(silhouette, 6) AS Silhouette, round(davies_bouldin, 6) AS DaviesBouldin,
+  round(calinski_harabasz, 4) AS CalinskiHarabasz FROM (
+  SELECT 2 AS place, 'GMM' AS Model, 2 AS k, silhouette, davies_bouldin, calinski_harabasz FROM sil_bounce, db_bounce, ch_bounce
+  UNION ALL SELECT 1, 'KMeans', 3, silhouette, davies_bouldin, calinski_harabasz FROM sil_cluster, db_cluster, ch_cluster
+  UNION ALL SELECT 1, 'KMeans', 2, silhouette, davies_bouldin, calinski_harabasz FROM sil_bounce, db_bounce, ch_bounce
+  UNION ALL SELECT 4, 'Agglomerative', 3, silhouette, davies_bouldin, calinski_harabasz FROM sil_cluster, db_cluster, ch_cluster)
 ORDER BY silhouette DESC, place, k LIMIT 1""",
         _silhouette("cluster") + _silhouette("bounce") + _centroid("cluster") + _centroid("bounce"),
     )

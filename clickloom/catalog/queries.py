@@ -410,7 +410,7 @@ def _rule_results(spark, sf) -> DataFrame:
 @query
 def select_best_model(spark, sf):
     best = models.best_row(_rule_results(spark, sf))
-    return tidy(best.select("Model", "k", "Silhouette", "DaviesBouldin"))
+    return tidy(best.select("Model", "k", "Silhouette", "DaviesBouldin", F.round("CalinskiHarabasz", 4).alias("CalinskiHarabasz")))
 
 
 @query

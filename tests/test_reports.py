@@ -110,7 +110,13 @@ def test_export_and_run_log(spark, folder):
 def test_train_then_score_new_clicks(spark, small, folder):
     train, test = fx.click_split(spark, small, "train"), fx.click_split(spark, small, "test")
     prepared = prepare_imputed(train, test, f"{folder}/p")
-    _, known = kmeans_only(prepared.train_scaled, prepared.test_scaled, f"{folder}/m", ks=[2, 3], restarts=2)
+    log = RunLog(spark, f"{folder}/log", "kmeans", "imputed")
+    _, known = kmeans_only(prepared.train_scaled, prepared.test_scaled, f"{folder}/m", ks=[2, 3], restarts=2, log=log)
+    logged = {r["key"]: r["value"] for r in read_run_log(spark, f"{folder}/log").collect()}
+    assert {"silhouette_k2", "davies_bouldin_k3", "best_silhouette", "model"} <= set(logged)
+    assert logged["best_silhouette"] == logged[f"silhouette_k{logged['best_k']}"]
+    assert read_table(spark, f"{folder}/m/clustering_results").count() == 2
+    assert "profile" in logged and {"top_categories", "top_countries"} <= set(read_table(spark, logged["profile"]).columns)
     scored = score_clicks(test, load_artifacts(spark, f"{folder}/m", f"{folder}/p"))
     want = {r["session_id"]: r["cluster"] for r in known.collect()}
     assert {r["session_id"]: r["cluster"] for r in scored.sessions.collect()} == want
