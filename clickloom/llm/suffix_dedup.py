@@ -44,7 +44,7 @@ LENGTH, GRAM = 400, 32
 #: Windows of a text that are worked on at a time.
 CHUNK = 1 << 19
 #: Different segments of an anchor that one task sorts, and bytes of a batch.
-MOST_SEGMENTS, BATCH_BYTES = 1500, 1 << 20
+MOST_SEGMENTS, BATCH_BYTES = 400, 1 << 20
 #: Anchor places that share a range, round by round.
 WIDTHS = (64, 16, 4, 1)
 
