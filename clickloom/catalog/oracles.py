@@ -220,6 +220,18 @@ member AS (SELECT id, c FROM reach JOIN number USING (root)
 SELECT session_id, CAST(coalesce(c, -1) AS INT) AS cluster FROM {source} LEFT JOIN member ON session_id = id"""
 
 
+def _lloyd(source: str, start: str, columns: list[str], steps: int) -> str:
+    """Steps of k-means from the centres in ``start``, as CTEs m0.. (centres) and a0.. (rows at their nearest centre)."""
+    out = [f"m0 AS (SELECT * FROM {start})"]
+    for i in range(steps + 1):
+        out.append(f"""a{i} AS (SELECT * FROM (SELECT a.*, b.cluster AS near, {_distance2(columns)} AS d2, row_number() OVER (
+  PARTITION BY a.session_id ORDER BY {_distance2(columns)}, b.cluster) AS place FROM {source} a CROSS JOIN m{i} b) WHERE place = 1)""")
+        if i < steps:
+            means = ", ".join(f"avg({c}) AS {c}" for c in columns)
+            out.append(f"m{i + 1} AS (SELECT near AS cluster, {means} FROM a{i} GROUP BY near)")
+    return ",\n" + ",\n".join(out)
+
+
 def _insight(rows: str) -> dict[str, str]:
     limits = {c: f"(SELECT avg({c}) FROM m)" for c in p.SENTENCES}
     limits["bounce"] = str(p.BOUNCE_LIMIT)
@@ -489,6 +501,11 @@ ORDER BY silhouette DESC, place, k LIMIT 1""",
   PARTITION BY a.session_id ORDER BY {_distance2(SESSION_FEATURES)}, b.cluster) AS rn FROM test a CROSS JOIN c b) WHERE rn = 1""",
         centres,
     )
+    out["kmeans_given_start"] = over_sessions(
+        "SELECT cluster, " + ", ".join(_r(c, c, 4) for c in SESSION_FEATURES)
+        + ", " + _r("(SELECT sum(d2) FROM a3)", "inertia", 4) + " FROM m3",
+        centres + _lloyd("train", "c", SESSION_FEATURES, 3),
+    )
     out["dbscan_labels"] = f"WITH RECURSIVE {SESSION_CTES}{ENGINEERED_TRAIN}" + _dbscan("eng", ENGINEERED_FEATURES)
     out["dbscan_labels_scaled"] = f"WITH RECURSIVE {SESSION_CTES}{SCALED_TRAIN}" + _dbscan("scaled", SESSION_FEATURES)
     out["run_log"] = over_clicks(

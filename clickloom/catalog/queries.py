@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.catalog import fixtures as fx
-from clickloom.operators import cleaning, explore, features, metrics, models, profile
+from clickloom.operators import cleaning, explore, features, kmeans, metrics, models, profile
 from clickloom.operators.dbscan import dbscan
 from clickloom.operators.rollup import rollup_sessions
 from clickloom.operators.ward import ward
@@ -38,6 +38,7 @@ _registered: dict[str, Query] = {}
 IMPUTED_NUMBERS = ["order", "country", "price", "price_2", "page"]
 IMPUTED_TEXTS = ["page1_main_category", "page2_clothing_model"]
 WARD_TAIL = 256
+GIVEN_STEPS = 3
 EVENT_KINDS = ["click", "error", "purchase", "signup", "view"]
 SWEEP = range(models.MIN_K, models.MAX_K + 1)
 
@@ -437,6 +438,17 @@ def kmeans_labels(spark, sf):
     return models.renumber(fitted.label(rows), "cluster", ENGINEERED_FEATURES).select(KEY, "cluster")
 
 
+@query
+def kmeans_given_start(spark, sf):
+    """Three steps of k-means from the means of the rule clusters: centres and inertia."""
+    rows = fx.train(spark, sf).select(KEY, "cluster", *[F.col(f).cast("double").alias(f) for f in SESSION_FEATURES])
+    start = tidy(profile.cluster_means(rows, SESSION_FEATURES)).orderBy("cluster").toPandas()
+    ((centres, inertia, _),) = kmeans.refine(rows, SESSION_FEATURES, [start[SESSION_FEATURES].to_numpy()], GIVEN_STEPS)
+    found = [(i, *[float(v) for v in c], float(inertia)) for i, c in enumerate(centres)]
+    schema = ", ".join(["cluster int", *[f"{f} double" for f in SESSION_FEATURES], "inertia double"])
+    return tidy(spark.createDataFrame(found, schema), 4)
+
+
 @query
 def gmm_sweep(spark, sf):
     rows = models.training_rows(fx.engineered(spark, sf), ENGINEERED_FEATURES)
