@@ -146,6 +146,29 @@ def test_vectors_against_brute_force(spark, monkeypatch, rows):
     assert embedding_dedup.near_duplicates(frame.limit(0)).count() == 0
 
 
+def recall(spark, x, least=0.93):
+    rows = spark.createDataFrame([(i, row.tolist(), 0) for i, row in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    found = embedding_dedup.near_duplicates(rows, least).agg({"n_links": "sum"}).first()[0]
+    m = x / np.linalg.norm(x, axis=1, keepdims=True)
+    total = sum(int((m[a : a + 2000] @ m.T >= least).sum()) for a in range(0, len(m), 2000)) - len(m)
+    assert total and found <= total
+    return found / total
+
+
+@pytest.mark.parametrize("rows", [2000, 12000])
+def test_recall_on_a_hot_jittered_group(spark, rows):
+    """A third of the rows are near copies of one vector, with a cosine of about 0.95 to each other."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(rows, 64))
+    x[: rows // 3] = x[0] + rng.normal(size=(rows // 3, 64)) * 0.23
+    assert recall(spark, x) >= 0.9
+
+
+def test_vectors_of_one_group_only(spark):
+    rng = np.random.default_rng(8)
+    assert recall(spark, rng.normal(size=64) + rng.normal(size=(1500, 64)) * 0.23) == 1
+
+
 def test_recall_on_the_given_vectors(spark):
     vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = vectors.where("label IS NOT NULL").toPandas()
