@@ -11,12 +11,14 @@ small error rate. Probabilities are Dirichlet-smoothed:
 
 The filter is cut into blocks by the n-gram's hash. A block is written by one
 task, and all probes of an n-gram fall into its block. The number of blocks
-follows the number of tokens, so a task's share stays the same at every size.
-The whole filter is broadcast, so its size has a bound, ``MAX_BITS``. The lowest
-level that is written, the floor, is the smallest one with which the entries
-leave ``BITS_PER_ENTRY`` bits each; counts below the floor read as zero and back
-off. Floor and size follow from the level histogram of the n-grams in a fixed
-slice (1/256) of the hash range, counted over all texts.
+follows the number of tokens, so a task's share stays the same at every size, and
+a block has ``BITS_PER_ENTRY`` bits or up to twice as many for each entry: the
+filter grows with the n-grams, and every count is written from 1 on. With three
+hashes an absent (n-gram, level) is found by error in 0.3 to 1.7 % of all probes.
+
+The filter is a written table and never gathered. Texts to be scored are put in
+batches; a batch sends its distinct n-grams to their blocks, gets a level back for
+each, and is then scored with them.
 
 The add-``a`` unigram base score next to it is exact: counts of the ``FREQUENT``
 most frequent tokens are broadcast, and the rare tokens of each text, of which
@@ -29,6 +31,7 @@ every known count is 0 and all tokens are equally likely.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,23 +41,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import extended, mix, slices
-from clickloom.sources.staging import stage
+from clickloom.sources.staging import discard, stage
 
-#: Bound of the broadcast filter: 32 MB.
-MAX_BITS = 1 << 28
-BITS_PER_ENTRY, HASHES = 5, 3
+#: At least so many bits of a block for each of its entries.
+BITS_PER_ENTRY, HASHES = 10, 3
 #: Training tokens for each block of the filter.
-TOKENS_PER_BLOCK = 1 << 17
+TOKENS_PER_BLOCK = 1 << 19
 #: Bound of the broadcast table of exact counts.
 FREQUENT = 1 << 16
-#: Tokens that a task counts before it passes the counts on.
-FLUSH = 1 << 20
+#: Tokens that a task counts before it passes the counts on, and those of a batch that is scored.
+FLUSH, BATCH = 1 << 21, 1 << 20
 ADD, DIRICHLET = 0.1, 200.0
 #: Counts up to 4 have levels of their own; above, a level is a factor of 1.25.
 EXACT_LEVELS, STEP, MOST_LEVEL = 4, 1.25, 160
 #: The hash of a text's end, which is also the word before its first one.
 END = np.uint64(0x5BD1E9955BD1E995)
-SLICE = 256
 
 
 def tokens(text: str | None) -> np.ndarray:
@@ -66,10 +67,11 @@ def tokens(text: str | None) -> np.ndarray:
     return out
 
 
-def bigrams(t: np.ndarray) -> np.ndarray:
-    """A hash for each token with the one before it."""
+def bigrams(t: np.ndarray, starts: np.ndarray | int = 0) -> np.ndarray:
+    """A hash for each token with the one before it; texts begin at ``starts``."""
     before = np.empty_like(t)
-    before[0], before[1:] = END, t[:-1]
+    before[1:] = t[:-1]
+    before[starts] = END
     return mix(before * np.uint64(0x9E3779B97F4A7C15) + t)
 
 
@@ -108,29 +110,9 @@ def _flushed(batches, counted) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (kind, h, n): kind 1 every token, kind 2 the n-grams of the slice."""
-
-    held, size = [[], []], 0
-
-    def flush():
-        for kind, parts in enumerate(held, 1):
-            if parts:
-                h, n = np.unique(np.concatenate(parts), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(h), kind, np.int8)), pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["kind", "h", "n"]
-                )
-
-    for batch in slices(batches):
-        for text in batch.column("text").to_pylist():
-            t = tokens(text)
-            grams = np.concatenate([unigrams(t), bigrams(t)])
-            held[0].append(t)
-            held[1].append(grams[grams % np.uint64(SLICE) == 0])
-            size += len(t)
-            if size >= FLUSH:
-                yield from flush()
-                held, size = [[], []], 0
-    yield from flush()
+    """Rows (h, n) of all tokens."""
+    for h, n in _flushed(batches, lambda t: t):
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
 
 
 def _count_ngrams(shift: int):
@@ -138,18 +120,24 @@ def _count_ngrams(shift: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for h, n in _flushed(batches, lambda t: np.concatenate([unigrams(t), bigrams(t)])):
-            blocks = (h >> np.uint64(shift)).astype(np.int64) if shift < 64 else np.zeros(len(h), np.int64)
-            starts = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]])
+            blocks, starts, ends = _blocks(h, shift)
             blobs = []
-            for a, b in zip(starts, [*starts[1:], len(h)], strict=True):
+            for a, b in zip(starts, ends, strict=True):
                 once = n[a:b] == 1
                 single, more = h[a:b][once], h[a:b][~once]
                 blobs.append(np.int64(len(single)).tobytes() + _narrow(single) + _narrow(more) + n[a:b][~once].astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(blocks[starts].astype(np.int32)), pa.array(blobs, pa.binary())], names=["block", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array(blocks), pa.array(blobs, pa.binary())], names=["block", "counts"])
 
     return run
 
 
+def _blocks(h: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The blocks of sorted hashes, and where each begins and ends."""
+    blocks = (h >> np.uint64(shift)).astype(np.int64) if shift < 64 else np.zeros(len(h), np.int64)
+    starts = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]])
+    return blocks[starts].astype(np.int32), starts, np.r_[starts[1:], len(h)]
+
+
 def _narrow(h: np.ndarray) -> bytes:
     """The lower 48 bits: with the block in the upper ones, more than enough to tell n-grams apart."""
     return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
@@ -183,16 +171,19 @@ def _spread(low: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
 LOW48 = np.uint64((1 << 48) - 1)
 
 
-def _write_block(bits: int, floor: int):
+def _write_block(bits: int | None = None, floor: int = 1):
+    """Writes a block of ``bits`` (a power of two; by the number of its entries where none is given)."""
+
     def run(table: pa.Table) -> pa.Table:
         parts = [_unpack(b) for b in table.column("counts").to_pylist()]
         h, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         level = level_of(np.bincount(at, np.concatenate([p[1] for p in parts])))
-        field = np.zeros(bits, bool)
+        size = bits or 1 << max(6, (BITS_PER_ENTRY * int(level.sum()) - 1).bit_length())
+        field = np.zeros(size, bool)
         for step in range(floor, int(level.max(initial=0)) + 1):
             place, distance = _spread(h[level >= step], step)
             for _ in range(HASHES):
-                field[(place & np.uint64(bits - 1)).astype(np.int64)] = True
+                field[(place & np.uint64(size - 1)).astype(np.int64)] = True
                 place = place + distance
         return pa.table({"block": table.column("block")[:1], "bits": pa.array([np.packbits(field).tobytes()], pa.binary())})
 
@@ -224,112 +215,176 @@ class Filter:
 
 
 def count_tokens(docs: DataFrame) -> DataFrame:
-    """Staged rows (kind, h, n) with exact counts over all texts."""
-    parts = docs.select("text").mapInArrow(_count_tokens, "kind tinyint, h long, n long")
-    return stage(parts.groupBy("kind", "h").agg(F.sum("n").alias("n")), "tokens")
-
-
-def build_filter(docs: DataFrame, counted: DataFrame, total: int, max_bits: int = MAX_BITS) -> Filter:
-    """The filter over all n-grams of ``docs``; ``counted`` comes from ``count_tokens``."""
-    n = F.col("n").cast("double")
-    high = EXACT_LEVELS + F.floor(F.log(n / EXACT_LEVELS) / F.lit(float(np.log(STEP))) + 1e-9)
-    level = F.least(F.when(n <= EXACT_LEVELS, n).otherwise(high), F.lit(MOST_LEVEL)).cast("int")
-    found = counted.where("kind = 2").groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("c")).collect()  # one row per level
-    histogram = np.zeros(MOST_LEVEL + 2)
-    for row in found:
-        histogram[row["level"]] += row["c"] * SLICE
-    at_least = histogram[::-1].cumsum()[::-1]
-    floor = 1
-    while floor < MOST_LEVEL and BITS_PER_ENTRY * at_least[floor:].sum() > max_bits:
-        floor += 1
-    blocks = min(max_bits // 64, 1 << max(0, int(np.ceil(np.log2(max(total, 1) / TOKENS_PER_BLOCK)))))
-    wanted = 1 << int(np.ceil(np.log2(max(BITS_PER_ENTRY * at_least[floor:].sum(), 1024))))
-    bits = max(64, min(wanted, max_bits) // blocks)
-    shift = 64 - int(np.log2(blocks))
-    parts = (
-        docs.select("text").mapInArrow(_count_ngrams(shift), "block int, counts binary")
-        .groupBy("block").applyInArrow(_write_block(bits, floor), "block int, bits binary")
-    )
-    data = np.zeros((blocks, bits // 8), np.uint8)
-    for row in parts.toLocalIterator():  # the filter's size in all
-        data[row["block"]] = np.frombuffer(row["bits"], np.uint8)
-    return Filter(data.ravel(), shift, bits, floor)
+    """Staged rows (h, n) with exact counts over all texts."""
+    parts = docs.select("text").mapInArrow(_count_tokens, "h long, n long")
+    return stage(parts.groupBy("h").agg(F.sum("n").alias("n")), "tokens")
+
+
+def build_filter(docs: DataFrame, total: int) -> tuple[DataFrame, int]:
+    """Staged blocks (block, bits) of the filter over all n-grams of ``docs``, and the shift from a hash to its block."""
+    shift = 64 - max(0, int(np.ceil(np.log2(max(total, 1) / TOKENS_PER_BLOCK))))
+    parts = docs.select("text").mapInArrow(_count_ngrams(shift), "block int, counts binary")
+    return stage(parts.groupBy("block").applyInArrow(_write_block(), "block int, bits binary"), "filter"), shift
 
 
 # -- scoring
 
 
-def _score(sent):
+def _batches(size: int):
+    """Texts a batch at a time: ids, numbers of tokens, distinct words and the place of every token's word among them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
-        common, common_log, total, types = m["hashes"], m["logs"], m["total"], m["types"]
-        seen: Filter = m["filter"]
-        log_floor = np.log10(total + ADD * (types + 1))
-        for batch in slices(batches, 128):
-            texts = [tokens(t) for t in batch.column("text").to_pylist()]
-            lengths = np.array([len(t) for t in texts])
-            ends = lengths.cumsum()
-            flat = np.concatenate(texts) if texts else np.zeros(0, np.uint64)
-            pairs = np.concatenate([bigrams(t) for t in texts]) if texts else flat
-            # what a text holds several times is probed once
-            word, at = np.unique(flat, return_inverse=True)
-            c = seen.counts(unigrams(word))
-            p_word = (c + ADD) / (total + ADD * (types + 1))
-            pair, pair_at = np.unique(pairs, return_inverse=True)
-            c_pair = seen.counts(pair)[pair_at]
-            before = np.concatenate([[0], at[:-1]])
-            c_before = c[before]
-            starts = ends - lengths
-            c_before[starts] = m["texts"]
-            c_pair = np.minimum(np.minimum(c_pair, c_before), c[at])
-            p = (c_pair + DIRICHLET * p_word[at]) / (c_before + DIRICHLET)
-            score = np.add.reduceat(np.log10(p), starts)
-            place = np.searchsorted(common, word)
-            place[place == len(common)] = 0
-            frequent = common[place] == word if len(common) else np.zeros(len(word), bool)
-            gain = np.where(frequent, common_log[place] if len(common) else 0.0, 0.0) - log_floor
-            base = np.add.reduceat(np.where(frequent, gain, 0.0)[at], starts)
-            known = np.add.reduceat(frequent[at].astype(np.int64), starts)
-            rare = [np.unique(t[~frequent[at[a:b]]], return_counts=True) for t, a, b in zip(texts, starts, ends, strict=True)]
+        held, texts, count = [], [], 0
+
+        def flush():
+            word, at = np.unique(np.concatenate(texts), return_inverse=True)
+            listed = [pa.concat_arrays([h.column(c) for h in held]) for c in ("id", "held_out")]
+            columns = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in listed]
+            binary = [pa.array([x.tobytes()], pa.binary()) for x in (np.array([len(t) for t in texts], "<i8"), word.astype("<u8"), at.astype("<u4"))]
+            return pa.RecordBatch.from_arrays([*columns, *binary], names=["id", "held_out", "lengths", "words", "at"])
+
+        for batch in batches:
+            first = 0
+            for i, text in enumerate(batch.column("text")):
+                texts.append(tokens(text.as_py()))
+                count += len(texts[-1])
+                if count >= size:
+                    held.append(batch.slice(first, i + 1 - first))
+                    yield flush()
+                    held, texts, count, first = [], [], 0, i + 1
+            if first < batch.num_rows:
+                held.append(batch.slice(first))
+        if texts:
+            yield flush()
+
+    return run
+
+
+def _read_batch(row: dict) -> tuple[np.ndarray, ...]:
+    """Numbers of tokens, distinct words, places of all tokens' words, starts of the texts, and hashes of all bigrams."""
+    lengths, word, at = (np.frombuffer(row[c], kind) for c, kind in (("lengths", "<i8"), ("words", "<u8"), ("at", "<u4")))
+    at = at.astype(np.int64)
+    starts = lengths.cumsum() - lengths
+    return lengths, word, at, starts, bigrams(word[at], starts)
+
+
+def _probe(shift: int):
+    """Rows (batch, block, probes): the distinct n-grams of a batch, in the order of their hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1):
+            row = batch.to_pylist()[0]
+            _, word, _, _, pairs = _read_batch(row)
+            h = np.unique(np.concatenate([unigrams(word), pairs]))
+            blocks, starts, ends = _blocks(h, shift)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[batch.column(c) for c in ("id", "held_out")], pa.array(lengths), pa.array(known), pa.array(base), pa.array(score),
-                    pa.array([r[0].view(np.int64) for r in rare], pa.list_(pa.int64())), pa.array([r[1] for r in rare], pa.list_(pa.int64())),
+                    pa.array(np.full(len(blocks), row["batch"], np.int64)), pa.array(blocks),
+                    pa.array([_narrow(h[a:b]) for a, b in zip(starts, ends, strict=True)], pa.binary()),
                 ],
-                names=["id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "times"],
+                names=["batch", "block", "probes"],
             )
 
     return run
 
 
+def _answer(probes: pa.Table, block: pa.Table) -> pa.Table:
+    """The levels of a block's probes; 0 where nothing was written into the block."""
+    sent = [_wide(np.frombuffer(p, np.uint8)) for p in probes.column("probes").to_pylist()]
+    levels = [np.zeros(len(h), np.uint8) for h in sent]
+    if sent and block.num_rows:
+        data = np.frombuffer(block.column("bits")[0].as_py(), np.uint8)
+        found = Filter(data, 64, 8 * len(data), 1).levels(np.concatenate(sent)).astype(np.uint8)
+        levels = np.split(found, np.cumsum([len(h) for h in sent])[:-1])
+    return pa.table({"batch": probes.column("batch"), "block": probes.column("block"), "levels": pa.array([x.tobytes() for x in levels], pa.binary())})
+
+
+def _score(sent):
+    def run(answers: pa.Table, batch: pa.Table) -> pa.Table:
+        m = sent.value
+        common, common_log, total, types = m["hashes"], m["logs"], m["total"], m["types"]
+        log_floor = np.log10(total + ADD * (types + 1))
+        lengths, word, at, starts, pairs = _read_batch(batch.select(["lengths", "words", "at"]).to_pylist()[0])
+        ends = starts + lengths
+        h, place = np.unique(np.concatenate([unigrams(word), pairs]), return_inverse=True)
+        levels = np.frombuffer(b"".join(answers.sort_by("block").column("levels").to_pylist()), np.uint8)
+        if len(levels) != len(h):
+            raise ValueError(f"{len(levels)} levels for {len(h)} n-grams")
+        counts = value_of(levels.astype(np.int64))[place]
+        c, c_pair = counts[: len(word)], counts[len(word) :]
+        p_word = (c + ADD) / (total + ADD * (types + 1))
+        c_before = c[np.concatenate([[0], at[:-1]])]
+        c_before[starts] = m["texts"]
+        c_pair = np.minimum(np.minimum(c_pair, c_before), c[at])
+        p = (c_pair + DIRICHLET * p_word[at]) / (c_before + DIRICHLET)
+        score = np.add.reduceat(np.log10(p), starts)
+        place = np.searchsorted(common, word)
+        place[place == len(common)] = 0
+        frequent = common[place] == word if len(common) else np.zeros(len(word), bool)
+        gain = np.where(frequent, common_log[place] if len(common) else 0.0, 0.0) - log_floor
+        base = np.add.reduceat(np.where(frequent, gain, 0.0)[at], starts)
+        known = np.add.reduceat(frequent[at].astype(np.int64), starts)
+        flat, often = word[at], frequent[at]
+        rare = [np.unique(flat[a:b][~often[a:b]], return_counts=True) for a, b in zip(starts, ends, strict=True)]
+        return pa.table(
+            [
+                *[batch.column(c).combine_chunks().flatten() for c in ("id", "held_out")], pa.array(lengths), pa.array(known), pa.array(base), pa.array(score),
+                pa.array([r[0].view(np.int64) for r in rare], pa.list_(pa.int64())), pa.array([r[1] for r in rare], pa.list_(pa.int64())),
+            ],
+            names=["id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "times"],
+        )
+
+    return run
+
+
 def fit(docs: DataFrame) -> tuple[dict, DataFrame]:
     """Model and staged exact counts from all rows of (text)."""
-    counted = count_tokens(docs)
-    words = counted.where("kind = 1")
+    words = count_tokens(docs)
     totals = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("types")).first()
     texts = docs.count()
     total, types = totals["n"] or 0, totals["types"]
     top = words.orderBy(F.desc("n"), "h").limit(FREQUENT).select("h", "n").toPandas()
     hashes, n = top["h"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(float)
     order = np.argsort(hashes)
+    blocks, shift = build_filter(docs, total)
     model = {
         "hashes": hashes[order], "logs": np.log10(n[order] + ADD), "total": total, "types": types, "texts": texts,
-        "filter": build_filter(docs, counted, total),
+        "filter": blocks, "shift": shift,
     }
-    return model, words.select("h", "n")
+    return model, words
+
+
+def _release(spark: SparkSession) -> None:
+    """Has Spark delete the shuffle files that no DataFrame refers to any more: their results are written."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def score(docs: DataFrame, model: dict, words: DataFrame) -> DataFrame:
     """Rows (id, held_out, n_tokens, n_known, train_tokens, base_score, score) for rows (id, held_out, text)."""
     spark: SparkSession = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)  # at most MAX_BITS and FREQUENT counts
+    sent = spark.sparkContext.broadcast({k: v for k, v in model.items() if k != "filter"})  # at most FREQUENT counts
     schema = extended(
         docs.select("id", "held_out").schema, ("n_tokens", "long"), ("n_known", "long"), ("base", "double"), ("score", "double"),
         ("rare", "array<long>"), ("times", "array<long>"),
     )
-    scored = docs.select("id", "held_out", "text").mapInArrow(_score(sent), schema)
-    # a row number that stays: it is written with the row
+    _release(spark)  # of the fit
+    types = {c: docs.schema[c].dataType.simpleString() for c in ("id", "held_out")}
+    batches = docs.select("id", "held_out", "text").mapInArrow(
+        _batches(BATCH), f"id array<{types['id']}>, held_out array<{types['held_out']}>, lengths binary, words binary, at binary"
+    )
+    # batch and row numbers that stay: they are written with the rows
+    batches = stage(batches.withColumn("batch", F.monotonically_increasing_id()), "batches")
+    probes = batches.select("batch", "lengths", "words", "at").mapInArrow(_probe(model["shift"]), "batch long, block int, probes binary")
+    answers = stage(probes.groupBy("block").cogroup(model["filter"].groupBy("block")).applyInArrow(_answer, "batch long, block int, levels binary"), "answers")
+    del probes
+    _release(spark)
+    scored = answers.groupBy("batch").cogroup(batches.groupBy("batch")).applyInArrow(_score(sent), schema)
     staged = stage(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    discard(batches)
+    discard(answers)
+    del scored
+    _release(spark)
     floor = float(np.log10(model["total"] + ADD * (model["types"] + 1)))
     rare = staged.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("h"), "x.times")
     found = rare.join(words, "h").groupBy("row").agg(

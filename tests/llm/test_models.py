@@ -124,6 +124,32 @@ def test_scores_of_the_language_model(spark, small):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_counts_of_one_reach_the_scores(spark, small, monkeypatch):
+    """Any bound on the filter's size, where one exists, is set far below what all n-grams need."""
+    defaults = language_model.build_filter.__defaults__
+    monkeypatch.setattr(language_model.build_filter, "__defaults__", defaults and (1 << 13,) * len(defaults))
+    for name, value in (("TOKENS_PER_BLOCK", 5000), ("BATCH", 3000)):
+        monkeypatch.setattr(language_model, name, value, raising=False)
+    rows = documents(spark, small).select(F.col("doc_id").alias("id"), (F.col("doc_id") % 7 == 0).alias("held_out"), "text")
+    model, known = language_model.fit(rows.where("NOT held_out"))
+    found = {r["id"]: r["score"] for r in language_model.score(rows, model, known).collect()}
+    words = {r["id"]: ["."] + (r["text"] or "").encode().lower().split() + ["."] for r in rows.collect()}
+    train = {r["id"] for r in rows.where("NOT held_out").collect()}
+    one = collections.Counter(w for i in train for w in words[i][1:])
+    two = collections.Counter(p for i in train for p in zip(words[i], words[i][1:]))
+    level = lambda n: float(language_model.value_of(language_model.level_of(np.array([n])))[0]) if n else 0.0
+    total, types = sum(one.values()), len(one)
+    ratios = []
+    for i, ws in words.items():
+        want = 0.0
+        for k, (v, w) in enumerate(zip(ws, ws[1:])):
+            before = len(train) if k == 0 else level(one[v])
+            pair = min(level(two[v, w]), before, level(one[w]))
+            want += math.log10((pair + 200 * (level(one[w]) + 0.1) / (total + 0.1 * (types + 1))) / (before + 200))
+        ratios.append(found[i] / want)
+    assert len(found) == len(words) and abs(np.mean(ratios) - 1) < 0.01 and np.std(ratios) < 0.02
+
+
 def test_language_model_on_odd_texts(spark, texts):
     rows = texts.select(F.col("doc_id").alias("id"), F.lit(False).alias("held_out"), "text")
     model, words = language_model.fit(rows)
