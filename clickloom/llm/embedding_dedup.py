@@ -190,7 +190,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_
     classes = rows.where("vector IS NOT NULL").groupBy("label", "vector").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"))
     classes = stage(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
 
-    # the pivots, of each vector length apart: a bounded sample in the order of a hash, thinned
+    # the pivots: a bounded sample of all lengths in the order of a hash, thinned for each length apart;
+    # a length that is left with few or none is one cell
     wanted = pivots_for(classes.count())
     sample = classes.select("vector").orderBy(F.xxhash64("vector"), "vector").limit(DRAWN * wanted).collect()
     by_size: dict[int, list[bytes]] = {}

@@ -169,6 +169,15 @@ def test_vectors_of_one_group_only(spark):
     assert recall(spark, rng.normal(size=64) + rng.normal(size=(1500, 64)) * 0.23) == 1
 
 
+def test_links_of_a_rare_vector_length(spark):
+    """Six near copies of a length that hardly any pivot is drawn from."""
+    rng = np.random.default_rng(9)
+    x = [*rng.normal(size=(2000, 16)), *(rng.normal(size=8) + rng.normal(size=(6, 8)) * 0.01)]
+    rows = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    found = embedding_dedup.near_duplicates(rows).where("vec_id >= 2000").collect()
+    assert [(r["n_links"], r["component_id"]) for r in found] == [(5, 2000)] * 6
+
+
 def test_recall_on_the_given_vectors(spark):
     vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = vectors.where("label IS NOT NULL").toPandas()
