@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import (
-    bpe, embedding_dedup, language_id, language_model, packing, quality_classifier, quality_rules, simhash, suffix_dedup, url_filters,
+    bpe, divergence, embedding_dedup, language_id, language_model, packing, quality_classifier, quality_rules, simhash, suffix_dedup,
+    token_counts, url_filters, vector_codes,
 )
 from clickloom.llm.common import documents, remainder
 from clickloom.sources.staging import stage
@@ -18,6 +19,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _registered: dict[str, Query] = {}
 
 QUALITY_CUT = 0.3
+TOKEN_LIMIT = 2048
 
 
 def query(fn: Query) -> Query:
@@ -124,3 +126,18 @@ def op2_suffix_array_dedup(spark, sf):
 @query
 def op9_embedding_near_dedup(spark, sf):
     return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+@query
+def op11_token_counts(spark, sf):
+    return token_counts.token_counts(documents(spark, sf), public_tokenizers.path("word_bpe_49k.json"), TOKEN_LIMIT)
+
+
+@query
+def op12_source_divergence(spark, sf):
+    return divergence.audit(documents(spark, sf))
+
+
+@query
+def op13_vector_codes(spark, sf):
+    return vector_codes.compress(spark.read.parquet(f"{sf}/embeddings.parquet"))
