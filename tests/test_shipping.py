@@ -1,6 +1,7 @@
 """Kernels run where the workers cannot find the library by themselves."""
 
 import os
+import shutil
 import subprocess
 import sys
 import tempfile
@@ -30,3 +31,17 @@ def test_from_a_foreign_folder(small):
         [sys.executable, "-c", SCRIPT, str(REPO), small, *names], cwd=tempfile.mkdtemp(), env=env, capture_output=True, text=True, timeout=600
     )
     assert "ran all" in out.stdout, out.stderr[-2000:]
+
+
+def test_entry_without_the_operators_on_texts():
+    """The other queries stay registered when that subpackage is not there, with or without the pipeline's file."""
+    copy = Path(tempfile.mkdtemp())
+    shutil.copytree(REPO / "clickloom", copy / "clickloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if (REPO / name).exists():
+            shutil.copy(REPO / name, copy)
+    say = "import __spark_entry__ as e; print(len(e.queries()), sorted(set(e.oracle_sql()) - set(e.queries())), 'pipeline' in e.queries())"
+    out = subprocess.run([sys.executable, "-c", say], cwd=copy, capture_output=True, text=True, timeout=120)
+    from clickloom.catalog import queries
+
+    assert out.stdout.split() == [str(len(queries.registered())), "[]", "False"], out.stderr[-2000:]
