@@ -4,9 +4,9 @@ Prefix dynamic programming: byte-pair merges leave the tokens of ``w[:i]`` equal
 those of ``w[:i - len(t)]`` followed by one last token ``t``, and ``t`` is the one
 token ending there that stands next to the last token before it without merging.
 So one step per position gives the last token and the count of every prefix of a
-word, from earlier positions alone. These are stored by prefix, so that words share
-them; one more step closes any prefix with the token that ends a word there. A text's
-counts are those of its words on top of the words before.
+word, from earlier positions alone; sorted words go on from the prefix they share. One
+more step closes any prefix with the token that ends a word there. A text's counts are
+those of its words on top of the words before.
 
 What is stored answers questions of length without encoding again: how many tokens
 a prefix has (``prefix_counts``, ``tokens_at``), and how much of a text fits a
@@ -28,7 +28,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -111,7 +112,11 @@ class Neighbours(dict):
 
 
 class Counter(dict):
-    """Piece (a word and the blanks after it, or leading blanks) -> its number of tokens."""
+    """Word -> its number of tokens; what was not learnt is counted when asked for.
+
+    Where places matter, a text is cut in pieces: a word and the blanks after it, or
+    leading blanks.
+    """
 
     def __init__(self, vocabulary: str):
         super().__init__()
@@ -120,13 +125,14 @@ class Counter(dict):
         names = self.apart.bytes_of
         #: tokens by their bytes from the last one back: nested tables, the token under None
         self.open, self.closed = self.backwards(closing=False), self.backwards(closing=True)
-        #: prefix -> (last token, number of tokens)
-        self.known: dict[bytes, tuple[int, int]] = {}
         self.ready: dict[str, np.ndarray] = {}
         letters, numbers = _char_class("L"), _char_class("N")
         self.pieces_of = re.compile(f"(?:{_CONTRACTIONS}|[{letters}]+|[{numbers}]|[^{BLANKS}{letters}{numbers}]+)[{BLANKS}]*|[{BLANKS}]+")
         self.ascii_pieces_of = re.compile(f"(?:{_CONTRACTIONS}|[a-z]+|[0-9]|[^\t-\r a-z0-9]+)[\t-\r ]*|[\t-\r ]+")
-        self.blank = re.compile(f"[{BLANKS}]*$")
+        self.blanks = "".join(re.findall(f"[{BLANKS}]", "".join(map(chr, range(0x3001)))))
+        self.between, self.control = re.compile(f"[{BLANKS}]+"), re.compile("[\x1c-\x1f]")
+        #: what stands between blanks -> its number of tokens
+        self.chunks: dict[str, int] = {}
         self.symbol = re.compile(f"[^{BLANKS}{letters}{numbers}]$")
 
     def backwards(self, closing: bool) -> dict:
@@ -149,38 +155,45 @@ class Counter(dict):
         """The plain text in pieces; joined they are the text."""
         return (self.ascii_pieces_of if plain.isascii() else self.pieces_of).findall(plain)
 
+    def steps(self, data: bytes, steps: list[tuple[int, int]] | None = None) -> list[tuple[int, int]]:
+        """(last token, number of tokens) of every prefix that goes on, the empty one first.
+
+        Steps that are known already, those of a shorter prefix, are gone on with.
+        """
+        steps = [(_START, 0)] if steps is None else steps
+        for i in range(len(steps), len(data) + 1):
+            steps.append(self.last_token(data, i, self.open, steps))
+        return steps
+
+    def learn(self, words: Iterable[str]) -> None:
+        """Token numbers of words; in order, so that each goes on from the prefix it shares with the last one."""
+        before, steps = b"", [(_START, 0)]
+        for word in sorted(words):
+            data = word.encode("utf-8", "surrogatepass")
+            shared, most = 0, min(len(before), len(data)) - 1
+            while shared < most and before[shared] == data[shared]:
+                shared += 1
+            del steps[shared + 1 :]
+            self[word] = self.close(data, len(data), self.steps(data[:-1], steps))
+            before = data
+
     def last_token(self, data: bytes, i: int, tokens: dict, before: list[tuple[int, int]]) -> tuple[int, int]:
         """Last token of data[:i] and the number of tokens, from the prefixes before."""
-        at, ending = tokens, []
-        for j in range(i - 1, -1, -1):
+        at, ending, j = tokens, [], i
+        while j:
+            j -= 1
             at = at.get(data[j])
             if at is None:
                 break
             if None in at:
                 ending.append((j, at[None]))
+        apart = self.apart
         for j, token in reversed(ending):
             last, n = before[j]
-            if self.apart[last + 1 << 17 | token]:
+            if apart[last + 1 << 17 | token]:
                 return token, n + 1
         raise ValueError("no token ends this prefix: the vocabulary lacks a byte")
 
-    def steps(self, data: bytes) -> list[tuple[int, int]]:
-        """(last token, number of tokens) of every prefix that goes on, the empty one first."""
-        found, known = [(_START, 0)], self.known
-        for i in range(1, len(data) + 1):
-            if i > REMEMBERED_BYTES:
-                found.append(self.last_token(data, i, self.open, found))
-                continue
-            prefix = data[:i]
-            step = known.get(prefix)
-            if step is None:
-                step = self.last_token(data, i, self.open, found)
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                known[prefix] = step
-            found.append(step)
-        return found
-
     def close(self, data: bytes, i: int, steps: list[tuple[int, int]]) -> int:
         """Tokens of data[:i] as a whole word."""
         return self.last_token(data, i, self.closed, steps)[1] if i else 0
@@ -189,7 +202,7 @@ class Counter(dict):
         """Tokens of every non-empty prefix of a piece."""
         found = self.ready.get(piece)
         if found is None:
-            word = piece[: self.blank.search(piece).start()]
+            word = piece.rstrip(self.blanks)
             data = word.encode("utf-8", "surrogatepass")
             steps = self.steps(data)
             ends, at = [], 0
@@ -206,16 +219,9 @@ class Counter(dict):
         return found
 
     def __missing__(self, piece: str) -> int:
-        word = piece[: self.blank.search(piece).start()]
-        n = self.get(word) if len(word) < len(piece) else None
-        if n is None:
-            data = word.encode("utf-8", "surrogatepass")
-            n = self.close(data, len(data), self.steps(data[:-1]))
-        if len(piece) <= REMEMBERED_BYTES:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[piece] = self[word] = n
-        return n
+        word = piece.rstrip(self.blanks)
+        data = word.encode("utf-8", "surrogatepass")
+        return self.close(data, len(data), self.steps(data[:-1])) if word else 0
 
     def parts(self, text: str | None) -> list[str]:
         """Ordinary texts and special tokens in turn, ordinary ones plain."""
@@ -225,8 +231,35 @@ class Counter(dict):
             return [self.plain(text)]
         return [p if k % 2 else self.plain(p) for k, p in enumerate(self.enc.specials.split(text))]
 
+    def totals(self, texts: list[list[str]]) -> list[int]:
+        """Tokens of texts given in parts."""
+        # no word goes over a blank, so what stands between blanks is counted once for all its places
+        between = [[c for p in parts[::2] for c in self.chunks_of(p)] for parts in texts]
+        known = self.chunks
+        if len(known) >= REMEMBERED:
+            known.clear()
+        fresh = set(chain.from_iterable(between)).difference(known)
+        find = (self.enc.ascii_words.findall, self.enc.words.findall)
+        words = {c: find[not c.isascii()](c) for c in fresh}
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self.learn(set(chain.from_iterable(words.values())).difference(self))
+        known.update((c, sum(map(self.__getitem__, w))) for c, w in words.items())
+        found = [sum(map(known.__getitem__, c)) + len(parts) // 2 for c, parts in zip(between, texts, strict=True)]
+        for chunk in [c for c in fresh if len(c) > REMEMBERED_BYTES]:
+            del known[chunk]
+            for word in words[chunk]:
+                self.pop(word, None)
+        return found
+
+    def chunks_of(self, plain: str) -> list[str]:
+        """What stands between blanks. Four control characters split here for Python, but not in the vocabulary's patterns."""
+        if self.control.search(plain):
+            return [c for c in self.between.split(plain) if c]
+        return plain.split()
+
     def total(self, text: str | None) -> int:
-        return sum(1 if k % 2 else sum(map(self.__getitem__, self.pieces(p))) for k, p in enumerate(self.parts(text)))
+        return self.totals([self.parts(text)])[0]
 
     def counts(self, text: str | None) -> np.ndarray:
         """Tokens of every non-empty prefix of the plain text."""
@@ -272,13 +305,12 @@ def token_counts(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id",
     """
 
     def measure(count: Counter, texts: list[str | None]) -> list:
-        totals = [count.total(t) for t in texts]
-        fit = [
-            count.fits(t, limit) if n > limit else sum(map(len, count.parts(t))) for t, n in zip(texts, totals, strict=True)
-        ]
+        parts = [count.parts(t) for t in texts]
+        totals = count.totals(parts)
+        fit = [count.fits(t, limit) if n > limit else sum(map(len, p)) for t, n, p in zip(texts, totals, parts, strict=True)]
         return [pa.array(totals, pa.int64()), pc.greater(pa.array(totals, pa.int64()), limit), pa.array(fit, pa.int64())]
 
-    counted = _over(docs, path, id_col, text_col, "n_tokens long, over_limit boolean, fit_chars long", measure)
+    counted = _over(docs, path, id_col, text_col, "n_tokens long, over_limit boolean, fit_chars long", measure, 1024)
     return counted.select(id_col, "n_bytes", "n_tokens", "over_limit", "fit_chars")
 
 
@@ -310,14 +342,14 @@ def fitting(counts: Column, limit: Column) -> Column:
     return F.coalesce(F.array_max(F.transform(counts, lambda n, i: F.when(n <= limit, i + 1))), F.lit(0))
 
 
-def _over(docs: DataFrame, path: str, id_col: str, text_col: str, columns: str, measure) -> DataFrame:
+def _over(docs: DataFrame, path: str, id_col: str, text_col: str, columns: str, measure, rows_at_once: int = 64) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))  # one vocabulary file
     rows = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     names = ["id", "n_bytes", *[c.split()[0] for c in columns.split(", ")]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(sent.value)
-        for batch in slices(batches, 64):
+        for batch in slices(batches, rows_at_once):
             size = pc.cast(pc.binary_length(batch.column("text")), pa.int64())
             found = measure(count, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("id"), size, *found], names=names)
