@@ -46,6 +46,15 @@ def sample_below(ids: DataFrame, id_col: str, bound: int) -> DataFrame:
     return ids.orderBy(F.xxhash64(F.col(id_col).cast("string"), F.lit("sample")), id_col).limit(bound)
 
 
+def spare(columns: list[str], *stems: str) -> list[str]:
+    """Names made of the stems that the given columns do not use."""
+    taken = {c.lower() for c in columns}
+    mark = "_"
+    while any(f"{mark}{s}".lower() in taken for s in stems):
+        mark += "_"
+    return [f"{mark}{s}" for s in stems]
+
+
 def extended(schema: T.StructType, *more: tuple[str, str]) -> T.StructType:
     """A schema with further (name, type) columns; the given one stays as it is."""
     return T.StructType([*schema.fields, *[T.StructField(n, T._parse_datatype_string(t)) for n, t in more]])

@@ -117,7 +117,7 @@ def fit(labelled: DataFrame) -> dict:
     """Model from rows (text, lang); rows with a null are left out.
 
     Document frequencies cover all rows. The centroids come from at most about
-    ``SAMPLE_PER_LANGUAGE`` texts of each language, chosen by a hash of the text.
+    ``SAMPLE_PER_LANGUAGE`` different texts of each language, chosen by a hash of the text.
     """
     rows = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
     df = rows.select("text").mapInArrow(_document_frequency, "bucket int, df long").groupBy("bucket").agg(F.sum("df").alias("df"))
@@ -131,7 +131,8 @@ def fit(labelled: DataFrame) -> dict:
     if per_language:
         # a share of the hash range: about the bound in expectation, and no sort
         part = F.pmod(order, F.lit(1 << 20)) / F.lit(1 << 20)
-        sample = rows.withColumn("order", order).where(part < share[F.col("lang")])
+        # copies of a text are one: a text of a third of the rows is still one row of the sample
+        sample = rows.withColumn("order", order).where(part < share[F.col("lang")]).distinct()
         found = sample.groupBy("lang").applyInArrow(_cluster(idf), "lang string, center binary, floor double").toPandas()
         found = found.sort_values(["lang", "center"])
         model["langs"] = found["lang"].tolist()

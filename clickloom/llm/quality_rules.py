@@ -10,8 +10,11 @@ repeated three-word windows make a base rule next to it.
 All of it is DataFrame expressions: no Python runs on the executors.
 
 Defined results: a null text has no words and fails the base rule, like an empty
-one. Repeated rows are judged row by row. Without trusted texts, or without any
-n-gram, the score is 0. Texts are read whole; windows are compared by their 64-bit hash.
+one. Repeated rows are judged row by row, and no result depends on an order, so there
+are no ties. Without trusted texts, or without any n-gram, the score is 0. Null ids are
+never trusted; repeated ones are trusted together. Texts are read whole; windows are
+compared by their 64-bit hash. An empty table gives an empty one. Further columns, of
+whatever name but those of the results, are carried over.
 """
 
 from __future__ import annotations
@@ -19,19 +22,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import sample_below
 from clickloom.sources.staging import stage
 
 BUCKETS = 1 << 16
-#: Bound of the trusted ids that are broadcast.
-TRUSTED_ROWS = 20_000
+#: Places over which rows without an id are spread in the join with the trusted ids.
+SALTS = 64
 #: Added to every bucket's count.
 ADD = 4.0
 THRESHOLD = -0.07
 #: Base rule (fixed values).
 LEAST_WORDS, MOST_REPEATED, WINDOW = 50, 50, 3
 BLANKS, SYMBOLS = " \t\n\x0b\x0c\r", "[#*$%&|<>]"
-OWN = ["_text", "_words", "_hashes", "_lines", "_windows", "_sorted", "_again", "_grams", "_trusted", "_ratios", "_one", "_row"]
 
 
 def words_of(text: Column) -> Column:
@@ -57,12 +58,15 @@ def _with_hashes(docs: DataFrame, text_col: str) -> DataFrame:
 def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row with ``ratios``, an array of the buckets' log ratios.
 
-    ``trusted`` holds ids; at most ``TRUSTED_ROWS`` of them, chosen by a hash,
-    stand for the target. The corpus counts cover all of ``docs``.
+    ``trusted`` holds ids: all rows with one of them stand for the target. The
+    corpus counts cover all of ``docs``.
     """
-    chosen = sample_below(trusted.select(F.col(id_col).alias("_id")).where("_id IS NOT NULL").distinct(), "_id", TRUSTED_ROWS)
-    rows = _with_hashes(docs.select(F.col(id_col).alias("_id"), F.col(text_col)), text_col)
-    rows = rows.join(F.broadcast(chosen.withColumn("_trusted", F.lit(1))), "_id", "left")  # bounded above
+    # a written table: Spark knows its size, and copies it to all tasks only while it is small
+    chosen = stage(trusted.select(F.col(f"`{id_col}`").alias("_id")).where("_id IS NOT NULL").distinct(), "trusted")
+    chosen = chosen.select("_id", F.lit(0).alias("_salt"), F.lit(1).alias("_trusted"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_raw"))
+    salt = F.when(F.col("_id").isNull(), F.pmod(F.xxhash64("_raw"), F.lit(SALTS)).cast("int")).otherwise(0)
+    rows = _with_hashes(rows.withColumn("_salt", salt).join(chosen, ["_id", "_salt"], "left").select("_trusted", "_raw"), "_raw")
     hashes = F.col("_hashes")
     grams = rows.select("_trusted", F.explode(F.concat(hashes, windows_of(hashes, 2))).alias("h")).select("_trusted", bucket(F.col("h")).alias("bucket"))
     counts = stage(grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("target")), "buckets")
@@ -79,11 +83,12 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
 def judge(docs: DataFrame, ratios: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with the base counts, the score and the verdict; columns of these names are replaced."""
     out = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "ratio_score", "kept"]
-    keep = [c for c in docs.columns if c not in [*out, *OWN]]
-    rows = _with_hashes(docs.select(*[f"`{c}`" for c in docs.columns if c == text_col or c in keep]), text_col)
+    keep = [c for c in docs.columns if c not in out]
+    # the caller's columns travel in one, so that no name of theirs meets a name of ours
+    rows = _with_hashes(docs.select(F.struct(*[F.col(f"`{c}`") for c in keep], F.lit(0)).alias("_kept"), F.col(f"`{text_col}`").alias("_raw")), "_raw")
     hashes, text = F.col("_hashes"), F.col("_text")
     rows = rows.select(
-        *[F.col(f"`{c}`") for c in keep], "_text", "_words", "_hashes",
+        "_kept", "_text", "_words", "_hashes",
         F.filter(F.split(text, "\n"), lambda x: F.trim(x, F.lit(BLANKS)) != "").alias("_lines"),
         windows_of(hashes, WINDOW).alias("_windows"),
     )
@@ -105,7 +110,7 @@ def judge(docs: DataFrame, ratios: DataFrame, text_col: str = "text", threshold:
     covered = F.transform(again, lambda p, k: F.least(F.lit(WINDOW), F.coalesce(F.get(again, k + 1) - p, F.lit(WINDOW))))
     count = lambda x: x.cast("long")
     rows = rows.select(
-        *[F.col(f"`{c}`") for c in keep], count(F.size("_words")).alias("n_words"),
+        "_kept", count(F.size("_words")).alias("n_words"),
         count(F.length(F.array_join("_words", ""))).alias("word_chars"),
         count(F.regexp_count(text, F.lit(SYMBOLS))).alias("n_symbols"),
         count(F.size("_lines") - F.size(F.array_distinct("_lines"))).alias("n_dup_lines"),
@@ -119,4 +124,5 @@ def judge(docs: DataFrame, ratios: DataFrame, text_col: str = "text", threshold:
     # a filter on the verdict must not be moved below this: it would take the arrays' definitions into the look-ups
     rows = rows.where("_row >= 0").drop("_row")
     rows = rows.withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
-    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("ratio_score") >= threshold))
+    rows = rows.withColumn("kept", ~F.col("base_failed") & (F.col("ratio_score") >= threshold))
+    return rows.select(*[F.col(f"_kept.`{c}`") for c in keep], *out)

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import extended, mix, slices
+from clickloom.llm.common import extended, mix, slices, spare
 from clickloom.operators.components import connected
 from clickloom.sources.staging import stage
 
@@ -294,8 +294,11 @@ def keep_one(docs: DataFrame, shingle: int = 3, tau: int = 3, id_col: str = "doc
     # null ids last
     last = F.struct(F.col("key.id").isNull(), F.col("key.id"), F.col("key.h"))
     chosen = stage(copies.groupBy("root").agg(F.min_by(F.struct("key.*", "n"), last).alias("k")).select("k.*"), "chosen")
-    rows = docs.withColumn("_h", F.xxhash64(text_col))
-    chosen_rows = rows.join(chosen.alias("k"), F.col(id_col).eqNullSafe(F.col("k.id")) & (F.col("_h") == F.col("k.h")))
-    once = chosen_rows.where("n = 1").select(docs.columns)
-    again = chosen_rows.where("n > 1").dropDuplicates([id_col, "_h"]).select(docs.columns)
+    h, kept_id, kept_h, n = spare(docs.columns, "h", "kept_id", "kept_h", "n")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.withColumn(h, F.xxhash64(F.col(f"`{text_col}`")))
+    chosen = chosen.select(F.col("id").alias(kept_id), F.col("h").alias(kept_h), F.col("n").alias(n))
+    chosen_rows = rows.join(chosen, rows[id_col].eqNullSafe(chosen[kept_id]) & (rows[h] == chosen[kept_h]))
+    once = chosen_rows.where(F.col(n) == 1).select(*columns)
+    again = chosen_rows.where(F.col(n) > 1).dropDuplicates([id_col, h]).select(*columns)
     return once.unionByName(again)

@@ -23,7 +23,9 @@ ones are left or a range is one window, of which all copies are one row.
 
 Defined results: a null text is empty. Texts shorter than ``length`` bytes keep
 all bytes. Rows with the same id and text are repeated rows: each is a text of
-its own, so both lose what they share. A null id is an id like any other.
+its own, so both lose what they share. A null id is an id like any other. No result
+depends on an order, so there are no ties. An empty table gives an empty one. Further
+columns, of whatever name, are carried over.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import extended, mix, slices
+from clickloom.llm.common import extended, mix, slices, spare
 from clickloom.sources.staging import stage
 
 LENGTH, GRAM = 400, 32
@@ -355,7 +357,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         back = children.join(verdicts.select(F.col("anchor").alias("child"), F.col("seg").alias("part"), "spans"), ["child", "part"])
         moved = back.groupBy("anchor", "seg").agg(F.flatten(F.collect_list(F.transform("spans", lambda x: x + F.col("off")))).alias("spans"))
         verdicts = stage(verdicts.unionByName(moved), "verdicts")
-    found = places.join(verdicts, ["anchor", "seg"]).groupBy("id", "h").agg(F.collect_list(F.struct("first", "spans")).alias("found"))
+    # repeated rows have the same spans: each is gathered once, whatever the number of copies
+    found = places.join(verdicts, ["anchor", "seg"]).groupBy("id", "h").agg(F.collect_set(F.struct("first", "spans")).alias("found"))
     return stage(found, "found")
 
 
@@ -394,15 +397,17 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", t
     found = repeated_spans(docs, length, id_col, text_col)
     out = ["kept", "kept_text", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     keep = [c for c in docs.columns if c not in out]
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_h"))
-    on = F.col("_id").eqNullSafe(F.col("_f.id")) & (F.col("_h") == F.col("_f.h"))
-    joined = rows.join(found.alias("_f"), on, "left").select(*[f"`{c}`" for c in keep], F.col("found").alias("_found"))
+    id_, h, other_id, other_h, spans_col = spare(docs.columns, "id", "h", "found_id", "found_h", "found")
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{id_col}`").alias(id_), F.xxhash64(F.col(f"`{text_col}`")).alias(h))
+    found = found.select(F.col("id").alias(other_id), F.col("h").alias(other_h), F.col("found").alias(spans_col))
+    on = rows[id_].eqNullSafe(found[other_id]) & (rows[h] == found[other_h])
+    joined = rows.join(found, on, "left").select(*[f"`{c}`" for c in keep], spans_col)
     schema = extended(docs.select(*[f"`{c}`" for c in keep]).schema, ("kept", "binary"), ("kept_text", "string"), ("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
             rows = []
-            for text, spans in zip(batch.column(text_col).to_pylist(), batch.column("_found").to_pylist(), strict=True):
+            for text, spans in zip(batch.column(text_col).to_pylist(), batch.column(spans_col).to_pylist(), strict=True):
                 data = data_of(text)
                 rest, removed, runs = without(data, spans)
                 rows.append((rest, rest.decode("utf-8", "ignore"), len(data), removed, runs, hashlib.sha256(rest).hexdigest()))

@@ -5,6 +5,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from clickloom.llm import embedding_dedup, simhash, suffix_dedup
@@ -179,15 +180,50 @@ def test_links_of_a_rare_vector_length(spark):
 
 
 def test_recall_on_the_given_vectors(spark):
-    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
-    rows = vectors.where("label IS NOT NULL").toPandas()
+    """The given vectors hold no links: near copies of some are planted."""
+    rng = np.random.default_rng(11)
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").where("label IS NOT NULL").orderBy("vec_id").toPandas()
+    planted = [
+        (10**9 + i, (np.array(v, float) + rng.normal(size=len(v)) * 0.01 * np.linalg.norm(v) / len(v) ** 0.5).tolist(), int(y))
+        for i, (v, y) in enumerate(zip(rows["embedding"][:400], rows["label"][:400]))
+    ]
+    every = [(int(i), list(map(float, v)), int(y)) for i, v, y in zip(rows["vec_id"], rows["embedding"], rows["label"])] + planted
     total = 0
-    for _, g in rows.groupby("label"):
-        m = np.array(g["embedding"].tolist(), float)
+    for label in {y for *_, y in every}:
+        m = np.array([v for _, v, y in every if y == label])
         m /= np.linalg.norm(m, axis=1, keepdims=True)
         total += int((m @ m.T >= 0.93).sum()) - len(m)
+    vectors = spark.createDataFrame(every, "vec_id long, embedding array<double>, label int")
     found = embedding_dedup.near_duplicates(vectors).agg({"n_links": "sum"}).first()[0]
-    assert 0.9 * total <= found <= total
+    assert total >= 800 and 0.9 * total <= found <= total
+
+
+@pytest.mark.parametrize("copies", [200, 400])
+def test_copies_of_a_row_are_gathered_once(spark, copies):
+    """The spans of a repeated row do not grow with its copies."""
+    rng = np.random.default_rng(6)
+    text = "".join(map(chr, rng.integers(97, 123, 1500)))
+    others = [(1000 + i, "".join(map(chr, rng.integers(97, 123, 700)))) for i in range(copies)]
+    docs = spark.createDataFrame([(1, text)] * copies + others, "doc_id long, text string")
+    found = suffix_dedup.repeated_spans(docs).collect()
+    # some segments of one text, whatever the copies: their anchors lie a window's width apart on average
+    assert len(found) == 1 and len(found[0]["found"]) < 40
+    rows = suffix_dedup.deduplicate(docs).collect()
+    assert [(r["n_removed"], r["n_spans"]) for r in rows if r["doc_id"] == 1] == [(1500, 1)] * copies
+    assert not any(r["n_removed"] for r in rows if r["doc_id"] != 1)
+
+
+def test_names_of_the_caller_stay(spark, texts):
+    """Columns named like inner ones come out as they went in."""
+    inner = ["_h", "_id", "_found", "h", "id", "found", "_found_id", "__h", "n", "_n", "_kept_id", "k", "_f", "fp", "root"]
+    docs = texts.select("*", *[F.concat(F.lit(c), F.coalesce(F.col("doc_id"), F.lit(0))).alias(c) for c in inner])
+    want = sorted((str(r["doc_id"]), *[r[c] for c in inner]) for r in docs.collect())
+    cut = suffix_dedup.deduplicate(docs)
+    assert cut.columns[: len(docs.columns)] == docs.columns
+    assert sorted((str(r["doc_id"]), *[r[c] for c in inner]) for r in cut.collect()) == want
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert {(str(r["doc_id"]), *[r[c] for c in inner]) for r in kept.collect()} <= set(want)
 
 
 def test_pipeline_against_brute_force(spark, small):
@@ -211,7 +247,7 @@ def test_pipeline_against_brute_force(spark, small):
     assert sorted(r["doc_id"] for r in rows["simhash_near_dedup"]) == [before[i]["doc_id"] for i in sorted(first)]
     kept = rows["simhash_near_dedup"]
     data = [r["text"].encode() for r in kept]
-    cut = {r["doc_id"]: np.frombuffer(d, np.uint8)[~g].tobytes().decode("utf-8", "ignore") for r, d, g in zip(kept, data, removed_by_brute_force(data))}
+    cut = {r["doc_id"]: np.frombuffer(d, np.uint8)[~g].tobytes().decode("utf-8", "ignore") for r, d, g in zip(kept, data, removed_by_brute_force(data, corpus_pipeline.PASSAGE_BYTES))}
     assert {r["doc_id"]: r["text"] for r in rows["suffix_array_dedup"]} == cut
     assert all(r["n_chars"] == len(r["text"]) for r in rows["suffix_array_dedup"])
     held = collections.Counter()

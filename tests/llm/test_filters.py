@@ -71,6 +71,26 @@ def test_quality_rules_without_trusted_or_documents(spark, texts):
     assert quality_rules.judge(texts.limit(0), quality_rules.log_ratios(texts.limit(0), none)).count() == 0
 
 
+def test_quality_rules_keep_the_names_of_the_caller(spark, texts):
+    inner = ["_text", "_words", "_hashes", "_row", "_kept", "_ratios", "_one", "_raw", "_trusted", "_salt", "_id", "h", "bucket"]
+    docs = texts.select("*", *[F.concat(F.lit(c), F.coalesce(F.col("doc_id"), F.lit(0))).alias(c) for c in inner])
+    ratios = quality_rules.log_ratios(docs, spark.createDataFrame([(7, "x"), (None, "y"), (7, "z")], "doc_id long, _salt string"))
+    rows = quality_rules.judge(docs, ratios).collect()
+    assert sorted((str(r["doc_id"]), *[r[c] for c in inner]) for r in rows) == sorted((str(r["doc_id"]), *[r[c] for c in inner]) for r in docs.collect())
+    # doc 7 and its equal, doc 8, hold the trusted n-grams
+    score = {r["doc_id"]: r["ratio_score"] for r in rows}
+    assert score[7] == score[8] > score[5]
+
+
+def test_all_trusted_ids_count(spark):
+    """Every row of the trusted ids is in the target, however many there are."""
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("alpha beta w"), F.col("id") % 7).alias("text"))
+    trusted = docs.where("doc_id % 3 = 0").select("doc_id")
+    ratios = quality_rules.log_ratios(docs, trusted).first()["ratios"]
+    h = spark.sql("SELECT CAST(xxhash64('alpha') & 65535 AS INT)").first()[0]
+    assert ratios[h] == pytest.approx(0.0, abs=1e-9)
+
+
 def test_labels_separate(spark):
     sf = "/root/testdata/sf0.01"
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
