@@ -15,6 +15,9 @@ from clickloom.llm.common import documents, remainder
 from clickloom.sources.shipping import ship
 from clickloom.sources.staging import stage
 
+#: Passages of so many bytes that stand elsewhere too are cut: 50 words of five bytes with their blanks.
+PASSAGE_BYTES = 250
+
 #: SQL has no counterpart to these stages; tests hold run() against plain Python.
 ORACLE_SQL = None
 
@@ -43,7 +46,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the bytes that repeat elsewhere; an emptied text stays as an empty one."""
     ship(spark)
-    cut = suffix_dedup.deduplicate(docs)
+    cut = suffix_dedup.deduplicate(docs, PASSAGE_BYTES)
     text = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
     return cut.withColumns(text).select(docs.columns)
 
