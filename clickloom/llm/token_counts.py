@@ -263,8 +263,11 @@ class Counter(dict):
 
     def counts(self, text: str | None) -> np.ndarray:
         """Tokens of every non-empty prefix of the plain text."""
+        return self.counts_of(self.parts(text))
+
+    def counts_of(self, parts: list[str]) -> np.ndarray:
         out, base, tail = [], 0, ""
-        for k, part in enumerate(self.parts(text)):
+        for k, part in enumerate(parts):
             if k % 2:
                 # a cut special token is read on from the symbols just before it
                 start = base - (self[tail] if tail else 0)
@@ -280,10 +283,29 @@ class Counter(dict):
             tail = pieces[-1] if pieces and self.symbol.search(pieces[-1]) else ""
         return np.concatenate(out) if out else np.empty(0, np.int32)
 
-    def fits(self, text: str | None, limit: int) -> int:
-        """Code points of the longest prefix with at most ``limit`` tokens."""
-        within = np.flatnonzero(self.counts(text) <= limit)
-        return int(within[-1]) + 1 if len(within) else 0
+    def fits(self, parts: list[str], limit: int) -> int:
+        """Code points of the longest prefix with at most ``limit`` tokens, of a text given in parts.
+
+        Counts only grow from word to word, so the text is read up to the first word
+        that does not fit; that word's own prefixes tell where the budget ends.
+        """
+        base = at = 0
+        for k, part in enumerate(parts):
+            if k % 2:
+                if base + 1 > limit:
+                    # what is cut here is read on from the symbols before it
+                    counts = self.counts_of(parts[: k + 1])
+                    return int(np.flatnonzero(counts <= limit)[-1]) + 1 if (counts <= limit).any() else 0
+                base, at = base + 1, at + len(part)
+                continue
+            for found in (self.ascii_pieces_of if part.isascii() else self.pieces_of).finditer(part):
+                piece = found.group()
+                total = self[piece.rstrip(self.blanks)]
+                if base + total > limit:
+                    within = np.flatnonzero(self.prefixes(piece) + base <= limit)
+                    return at + int(within[-1]) + 1 if len(within) else at
+                base, at = base + total, at + len(piece)
+        return at
 
 
 _counters: dict[int, Counter] = {}
@@ -307,7 +329,7 @@ def token_counts(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id",
     def measure(count: Counter, texts: list[str | None]) -> list:
         parts = [count.parts(t) for t in texts]
         totals = count.totals(parts)
-        fit = [count.fits(t, limit) if n > limit else sum(map(len, p)) for t, n, p in zip(texts, totals, parts, strict=True)]
+        fit = [count.fits(p, limit) if n > limit else sum(map(len, p)) for n, p in zip(totals, parts, strict=True)]
         return [pa.array(totals, pa.int64()), pc.greater(pa.array(totals, pa.int64()), limit), pa.array(fit, pa.int64())]
 
     counted = _over(docs, path, id_col, text_col, "n_tokens long, over_limit boolean, fit_chars long", measure, 1024)
@@ -327,7 +349,8 @@ def truncate(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id", tex
     """Rows (id, n_bytes, fitting string): the longest prefix of the plain text with at most ``limit`` tokens."""
 
     def measure(count: Counter, texts: list[str | None]) -> list:
-        return [pa.array(["".join(count.parts(t))[: count.fits(t, limit)] for t in texts], pa.string())]
+        parts = [count.parts(t) for t in texts]
+        return [pa.array(["".join(p)[: count.fits(p, limit)] for p in parts], pa.string())]
 
     return _over(docs, path, id_col, text_col, "fitting string", measure)
 

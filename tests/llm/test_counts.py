@@ -59,10 +59,17 @@ def test_every_prefix_has_its_count(small, spark, public, counter):
         plain, counts = "".join(counter.parts(text)), counter.counts(text)
         assert "".join(counter.pieces(plain)) == plain and len(counts) == len(plain)
         assert counts.tolist() == [size(public, plain[:i]) for i in range(1, len(plain) + 1)]
+        for limit in (0, 1, 2, 7, 30, 1000):
+            within = [i for i in range(len(plain) + 1) if i == 0 or counts[i - 1] <= limit]
+            assert counter.fits(counter.parts(text), limit) == within[-1]
     # a special token is one token when it is whole, and ordinary text when it is cut
     counts = counter.counts("ab!<|endoftext|>c")
     cut = ["ab!<|endoftext|>"[:i] for i in range(1, 16)]
     assert counts[:15].tolist() == [size(public, c) for c in cut] and counts[15:].tolist() == [3, 4]
+    for limit in range(7):
+        fit = max([i + 1 for i, n in enumerate(counts.tolist()) if n <= limit], default=0)
+        # the whole special token is fewer tokens than its beginning: the prefix goes on behind it
+        assert counter.fits(counter.parts("ab!<|endoftext|>c"), limit) == fit
 
 
 def test_random_words_and_long_words(public, counter):
