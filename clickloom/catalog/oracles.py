@@ -11,6 +11,9 @@ from clickloom.schema import (
     SESSION_FEATURES,
 )
 
+#: Every number of the session table but the key and the cluster.
+NUMBERS = [*PROFILE_FEATURES, "last_page", "country_mode"]
+
 CLICK_CTES = """
 e AS (SELECT event_id, ts, user_id, event_type, value,
         CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM events),
@@ -340,15 +343,18 @@ def sql() -> dict[str, str]:
         _shares("country_mode", "train", "fl"),
     )
     whole = {"clicks", "pages_nunique", "distinct_models", "bounce", "page_depth"}
-    cells = [
-        c if name in whole else _r(c.rsplit(" AS ", 1)[0], name)
-        for c, name in zip(_engineered("test", "0"), ENGINEERED_FEATURES)
-    ]
-    out["engineered_features"] = over_sessions(
-        f"SELECT {', '.join(cells)}, t.session_id FROM test t LEFT JOIN fc ON t.country_mode = fc.country_mode "
-        "LEFT JOIN fp ON t.page1_mode = fp.page1_mode",
-        FREQUENCIES,
-    )
+
+    def engineered(split: str, unseen: str | None) -> str:
+        cells = [
+            c if name in whole else _r(c.rsplit(" AS ", 1)[0], name)
+            for c, name in zip(_engineered(split, unseen), ENGINEERED_FEATURES)
+        ]
+        return (
+            f"SELECT {', '.join(cells)}, t.session_id, '{split}' AS split FROM {split} t "
+            "LEFT JOIN fc ON t.country_mode = fc.country_mode LEFT JOIN fp ON t.page1_mode = fp.page1_mode"
+        )
+
+    out["engineered_features"] = over_sessions(_union([engineered("train", None), engineered("test", "0")]), FREQUENCIES)
     ordered = [*CLICKS.names, "event_id"]
     out["dataset_shape"] = over_clicks(
         f"SELECT count(*) AS n_rows, CAST({len(ordered)} AS INT) AS n_columns, '{', '.join(ordered)}' AS columns FROM clicks"
@@ -408,13 +414,13 @@ FROM generate_series(1, 50) t(bin) CROSS JOIN edge LEFT JOIN (
     )
     out["cluster_mean_median"] = over_sessions(
         "SELECT cluster, "
-        + ", ".join(f"{_r(f'avg({c})', f'{c}_mean')}, {_r(f'quantile_cont(CAST({c} AS DOUBLE), 0.5)', f'{c}_median')}" for c in PROFILE_FEATURES)
+        + ", ".join(f"{_r(f'avg({c})', f'{c}_mean')}, {_r(f'quantile_cont(CAST({c} AS DOUBLE), 0.5)', f'{c}_median')}" for c in NUMBERS)
         + " FROM s GROUP BY cluster"
     )
     out["cluster_means"] = over_sessions(
         "SELECT cluster, " + ", ".join(_r(f"avg({c})", c) for c in SESSION_FEATURES) + " FROM s GROUP BY cluster"
     )
-    melted = _union([f"SELECT cluster, '{c}' AS \"Feature\", CAST({c} AS DOUBLE) AS \"Value\" FROM s" for c in PROFILE_FEATURES])
+    melted = _union([f"SELECT cluster, '{c}' AS \"Feature\", CAST({c} AS DOUBLE) AS \"Value\" FROM s" for c in NUMBERS])
     out["cluster_melt"] = over_sessions(melted)
     out["cluster_box_stats"] = over_sessions(
         """SELECT x.cluster, x.feature, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
@@ -452,9 +458,12 @@ box AS (SELECT cluster, feature, quantile_cont(v, 0.25) AS q1, quantile_cont(v,
     out["session_lookup"] = over_sessions(
         _union(
             [
-                f"SELECT session_id, '{c}' AS field, CAST({e} AS VARCHAR) AS value FROM one"
-                for c, e in (("clicks", "clicks"), ("sum_price", "CAST(sum_price AS DECIMAL(18,2))"), ("last_page", "last_page"),
-                             ("page1_mode", "page1_mode"), ("cluster", "cluster"))
+                f"SELECT session_id, '{c}' AS field, CAST({c} AS VARCHAR) AS value FROM one"
+                for c in ("clicks", "pages_nunique", "last_page", "distinct_models", "country_mode", "page1_mode", "bounce", "cluster", "split")
+            ]
+            + [
+                f"SELECT session_id, '{c}', CAST(CAST({c} AS DECIMAL(18,6)) AS VARCHAR) FROM one"
+                for c in ("sum_price", "mean_price", "max_price", "avg_price_per_click")
             ]
         ),
         longest,
@@ -520,9 +529,13 @@ ORDER BY silhouette DESC, place, k LIMIT 1""",
                 f"CAST(count(*) - count(*) FILTER ({KEPT}) AS VARCHAR) FROM {t}"
                 for n, t in (("train", "g"), ("test", "h"))
             ]
+            + [
+                f"SELECT 'preparation', 'filtered', 'artifact', '{n}', '{n}'"
+                for n in ("imputer", "scaler", "train_sessions", "test_sessions", "train_features", "test_features")
+            ]
         ),
         GAPS_TRAIN,
     )
     columns = ", ".join(f'"{c}"' for c in CLICKS.names)
-    out["csv_round_trip"] = over_clicks(f"SELECT {columns} FROM gaps")
+    out["csv_round_trip"] = out["csv_inferred"] = over_clicks(f"SELECT {columns} FROM gaps")
     return out

@@ -22,7 +22,6 @@ from clickloom.schema import (
     CORRELATED,
     ENGINEERED_FEATURES,
     KEY,
-    PROFILE_FEATURES,
     SESSION_CATEGORIES,
     SESSION_FEATURES,
     numeric_columns,
@@ -191,10 +190,11 @@ def freq_encode_test(spark, sf):
 def engineered_features(spark, sf):
     train, test = fx.train(spark, sf), fx.test(spark, sf)
     fitted = features.fit_scaler(train)
-    _, out = features.engineer(
+    both = features.engineer(
         train, test, features.apply_scaler(train, fitted), features.apply_scaler(test, fitted)
     )
-    return tidy(out)
+    one, other = (t.withColumn("split", F.lit(n)) for t, n in zip(both, ("train", "test")))
+    return tidy(one.unionByName(other))
 
 
 # -- exploration
@@ -278,7 +278,7 @@ def cluster_top_countries(spark, sf):
 
 @query
 def cluster_mean_median(spark, sf):
-    return tidy(profile.mean_median(fx.sessions(spark, sf), PROFILE_FEATURES))
+    return tidy(profile.mean_median(fx.sessions(spark, sf)))
 
 
 @query
@@ -288,12 +288,14 @@ def cluster_means(spark, sf):
 
 @query
 def cluster_melt(spark, sf):
-    return profile.melt(fx.sessions(spark, sf), PROFILE_FEATURES)
+    sessions = fx.sessions(spark, sf)
+    return profile.melt(sessions, numeric_columns(sessions))
 
 
 @query
 def cluster_box_stats(spark, sf):
-    return tidy(explore.box_stats(fx.sessions(spark, sf), "cluster", PROFILE_FEATURES))
+    sessions = fx.sessions(spark, sf)
+    return tidy(explore.box_stats(sessions, "cluster", numeric_columns(sessions)))
 
 
 @query
@@ -346,8 +348,8 @@ def _longest(spark, sf) -> str:
 @query
 def session_lookup(spark, sf):
     _, rows = profile.find_session(fx.sessions(spark, sf), _longest(spark, sf))
-    return profile.as_fields(rows.drop("split").withColumn("sum_price", F.col("sum_price").cast("decimal(18,2)"))
-                             .select(KEY, "clicks", "sum_price", "last_page", "page1_mode", "cluster"))
+    # a double has no one way to be written as text
+    return profile.as_fields(rows.select(*[F.col(c).cast("decimal(18,6)").alias(c) if t == "double" else c for c, t in rows.dtypes]))
 
 
 @query
@@ -505,7 +507,9 @@ def run_log(spark, sf):
     log = RunLog(spark, f"{folder}/run_log", "preparation", "filtered")
     prepare_filtered(*_raw_split(spark, sf), folder, log)
     entries = read_run_log(spark, f"{folder}/run_log")
-    return entries.where(F.col("kind") != "artifact").select("experiment", "run", "kind", "key", "value")
+    # an artifact is logged with its path, of which only the name stays the same
+    name = F.when(F.col("kind") == "artifact", F.element_at(F.split("value", "/"), -1)).otherwise(F.col("value"))
+    return entries.select("experiment", "run", "kind", "key", name.alias("value"))
 
 
 @query
@@ -527,7 +531,14 @@ def train_and_profile(spark, sf):
     prepared = prepare_filtered(*_raw_split(spark, sf, gaps=False), folder, log)
     train, _ = engineer_features(prepared, folder, log)
     clustered = cluster_sessions(train, folder, log)
-    return profile_clusters(clustered, folder)
+    return profile_clusters(clustered, folder, log)
+
+
+@query
+def csv_inferred(spark, sf):
+    """Clicks written as CSV and read back without a declared schema."""
+    path = write_table(fx.clicks_missing(spark, sf).select(*CLICKS.names), fresh_path(spark, "csv"), "csv")
+    return read_table(spark, path, fmt="csv")
 
 
 @query

@@ -26,31 +26,70 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     )
 
 
+#: Decimal numbers as they are written in files; what a cast takes beside them (1d, 0x1p3) is text.
+_NUMBER = r"^\s*([-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?|[-+]?(nan|inf|infinity))\s*$"
+
+
+def inferred_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Types of the columns of CSV files with a header line, from all values of all files.
+
+    One pass counts, per column, the values that each candidate type can hold; the
+    narrowest type that holds all of them is taken: int, bigint, double, string. A
+    column without values is a string. Files whose headers differ raise an error.
+    """
+    # the header of one file; every other one is held against it
+    names = _loaded(spark.read.option("header", True), path, "csv").schema
+    table = _loaded(spark.read.schema(names).option("header", True).option("enforceSchema", False), path, "csv")
+    checks = {"int": lambda c: c.try_cast("int"), "bigint": lambda c: c.try_cast("bigint")}
+    cells = []
+    for c in table.columns:
+        text = F.col(f"`{c}`")
+        whole = text.rlike(r"^\s*[-+]?\d+\s*$")
+        held = [F.count(F.when(whole, check(text))).alias(kind) for kind, check in checks.items()]
+        number = F.count(F.when(F.lower(text).rlike(_NUMBER), F.lit(1))).alias("double")
+        cells.append(F.struct(F.count(text).alias("n"), *held, number))
+    counts = table.agg(*[cell.alias(f"c{i}") for i, cell in enumerate(cells)]).first()
+    fields = []
+    for i, c in enumerate(table.columns):
+        seen = counts[f"c{i}"]
+        kind = next((k for k in (*checks, "double") if seen["n"] and seen[k] == seen["n"]), "string")
+        fields.append(T.StructField(c, T._parse_datatype_string(kind)))
+    return T.StructType(fields)
+
+
+def _loaded(reader, path: str, fmt: str) -> DataFrame:
+    try:
+        return reader.format(fmt).load(path)
+    except AnalysisException as err:
+        if "PATH_NOT_FOUND" in str(err):
+            raise MissingInput(path) from err
+        raise
+
+
 def read_table(
     spark: SparkSession,
     path: str,
     schema: T.StructType | None = None,
     fmt: str = "parquet",
     nan_as_null: bool | None = None,
+    nested: bool = False,
 ) -> DataFrame:
-    """Scan parquet, or CSV with a header line and a declared schema.
+    """Scan parquet, or CSV with a header line; a CSV without a schema takes one more pass to infer it.
 
     NaN becomes NULL in CSV scans, and in others on request: the check hides a
     column from filter pushdown, and tables written by this library hold none.
+    ``nested`` reads the files of all folders below the path.
     """
     if fmt == "csv" and schema is None:
-        raise ValueError("a CSV scan needs a declared schema")
+        schema = inferred_schema(spark, path)
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
-    try:
-        table = reader.format(fmt).load(path)
-    except AnalysisException as err:
-        if "PATH_NOT_FOUND" in str(err):
-            raise MissingInput(path) from err
-        raise
+    if nested:
+        reader = reader.option("recursiveFileLookup", True)
+    table = _loaded(reader, path, fmt)
     return nan_to_null(table) if (fmt == "csv" if nan_as_null is None else nan_as_null) else table
 
 
