@@ -61,9 +61,9 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
     ``trusted`` holds ids: all rows with one of them stand for the target. The
     corpus counts cover all of ``docs``.
     """
-    # a written table: Spark knows its size, and copies it to all tasks only while it is small
-    chosen = stage(trusted.select(F.col(f"`{id_col}`").alias("_id")).where("_id IS NOT NULL").distinct(), "trusted")
-    chosen = chosen.select("_id", F.lit(0).alias("_salt"), F.lit(1).alias("_trusted"))
+    chosen = trusted.select(F.col(f"`{id_col}`").alias("_id")).where("_id IS NOT NULL").distinct()
+    # the ids grow with the documents, so both sides are dealt out by id at every size; the ids are the small side
+    chosen = chosen.select("_id", F.lit(0).alias("_salt"), F.lit(1).alias("_trusted")).hint("shuffle_hash")
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_raw"))
     salt = F.when(F.col("_id").isNull(), F.pmod(F.xxhash64("_raw"), F.lit(SALTS)).cast("int")).otherwise(0)
     rows = _with_hashes(rows.withColumn("_salt", salt).join(chosen, ["_id", "_salt"], "left").select("_trusted", "_raw"), "_raw")
