@@ -8,7 +8,9 @@ scans would be quadratic, take the same merges from a heap. The strings of the
 special tokens in a text stand for these tokens, as in the public library.
 
 Defined results: a null text is an empty one; it has no ids and decodes to the
-empty text. Repeated rows are encoded row by row; texts of any length are whole.
+empty text. Repeated rows are encoded row by row; texts of any length are whole. Of
+equal ranks in a word the leftmost is merged first. An empty table gives an empty one.
+Only the id is carried over; further columns, of whatever name, are left out.
 """
 
 from __future__ import annotations

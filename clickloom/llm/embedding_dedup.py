@@ -25,7 +25,8 @@ sample (``pivots_for``), every vector is indexed; recall is measured in the test
 Defined results: a vector that is null, zero, or holds a null or non-finite
 number, or has no label, links with nothing. Vectors of different lengths never
 link. Repeated rows are separate vectors. A null id takes part, and names a
-component only when no row of it has an id.
+component only when no row of it has an id. Equally near pivots go by their place. An
+empty table gives an empty one. Columns but id, vector and label are left out.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ cosine lies far below what the centroid's own texts reach.
 Defined results: a text that is null or holds no letter gets ``und``, score 0
 and is rejected. Equal cosines go to the first language in alphabetical order.
 Without any labelled text every document gets ``und``. Repeated rows are
-answered row by row; whole texts are read, however long.
+answered row by row; whole texts are read, however long. An empty table gives an empty
+one. Further columns are carried over; those named like the results are replaced.
 """
 
 from __future__ import annotations

@@ -26,7 +26,9 @@ none is more than 1/``FREQUENT`` of the corpus, are joined with their counts.
 
 Defined results: a null text is an empty one and consists of its end alone.
 Repeated rows are scored row by row and counted each. Without any training text
-every known count is 0 and all tokens are equally likely.
+every known count is 0 and all tokens are equally likely. Texts of any length are whole;
+no result depends on an order. An empty table gives an empty one. Columns but id,
+held_out and text are left out.
 """
 
 from __future__ import annotations

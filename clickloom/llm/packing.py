@@ -11,7 +11,9 @@ Groups are filled inside a task, in the order in which the task reads its rows,
 so no token leaves the task; only a task's last group may be less than full.
 
 Defined results: a null text is an empty one and consists of the end token.
-Repeated rows are separate documents. A document of any length is cut freely.
+Repeated rows are separate documents. A document of any length is cut freely. Pieces of
+equal length are told apart by their place. An empty table gives an empty one. Only the
+id is carried over; further columns, of whatever name, are left out.
 """
 
 from __future__ import annotations

@@ -8,7 +8,9 @@ and 2^d leaves, so a block of rows is scored level by level with array look-ups.
 
 Defined results: a null text counts as empty and has all statistics 0; it is
 scored like any other row. Repeated rows are scored row by row. Without any
-label, or with one class only, the score is the share of class 1 (0.5 if none).
+label, or with one class only, the score is the share of class 1 (0.5 if none). Texts
+of any length are whole. Of equally good splits the first statistic and cut is taken. An
+empty table gives an empty one. Only the columns asked for are carried over.
 """
 
 from __future__ import annotations

@@ -21,7 +21,10 @@ that these links do not connect yet, so it does not list all pairs of a cloud.
 Defined results: a null, empty or blank text has fingerprint zero, which is
 linked like any other. Fewer words than a shingle count as one shingle. Repeated
 rows have equal fingerprints and are linked. A null id takes part, and is the
-component's id only when no row of the component has an id.
+component's id only when no row of the component has an id. Of a group the row with the
+smallest id, then text hash, is the one kept. Texts of any length are whole. An empty
+table gives an empty one. ``keep_one`` carries further columns over, of whatever name;
+``near_duplicates`` leaves them out.
 """
 
 from __future__ import annotations

@@ -15,7 +15,9 @@ All of it is DataFrame expressions: no Python runs on the executors.
 Defined results: an entry with a null in list, pattern, day or action is left
 out; on a day with both, adding wins. A capture with a null or unreadable URL, a
 host over 253 characters, or no fetch date matches nothing and is not blocked.
-Repeated captures are answered as often as they occur.
+Repeated captures are answered as often as they occur. Of several matches the first by
+list, pattern and day is named. Without captures there are no rows; without entries
+nothing is blocked. Other columns of either table are not read.
 """
 
 from __future__ import annotations
