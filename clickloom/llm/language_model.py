@@ -232,6 +232,17 @@ def build_filter(docs: DataFrame, total: int) -> tuple[DataFrame, int]:
 # -- scoring
 
 
+def _planes(at: np.ndarray) -> bytes:
+    """Places compressed byte by byte: the upper bytes hardly differ. Batches are written twice, staged and shuffled."""
+    planes = np.ascontiguousarray(at.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return pa.Codec("zstd", 1).compress(planes.tobytes(), asbytes=True)
+
+
+def _from_planes(blob: bytes, count: int) -> np.ndarray:
+    planes = np.frombuffer(pa.Codec("zstd", 1).decompress(blob, 4 * count, asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
 def _batches(size: int):
     """Texts a batch at a time: ids, numbers of tokens, distinct words and the place of every token's word among them."""
 
@@ -242,7 +253,8 @@ def _batches(size: int):
             word, at = np.unique(np.concatenate(texts), return_inverse=True)
             listed = [pa.concat_arrays([h.column(c) for h in held]) for c in ("id", "held_out")]
             columns = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in listed]
-            binary = [pa.array([x.tobytes()], pa.binary()) for x in (np.array([len(t) for t in texts], "<i8"), word.astype("<u8"), at.astype("<u4"))]
+            binary = [pa.array([x.tobytes()], pa.binary()) for x in (np.array([len(t) for t in texts], "<i8"), word.astype("<u8"))]
+            binary.append(pa.array([_planes(at)], pa.binary()))
             return pa.RecordBatch.from_arrays([*columns, *binary], names=["id", "held_out", "lengths", "words", "at"])
 
         for batch in batches:
@@ -264,8 +276,8 @@ def _batches(size: int):
 
 def _read_batch(row: dict) -> tuple[np.ndarray, ...]:
     """Numbers of tokens, distinct words, places of all tokens' words, starts of the texts, and hashes of all bigrams."""
-    lengths, word, at = (np.frombuffer(row[c], kind) for c, kind in (("lengths", "<i8"), ("words", "<u8"), ("at", "<u4")))
-    at = at.astype(np.int64)
+    lengths, word = (np.frombuffer(row[c], kind) for c, kind in (("lengths", "<i8"), ("words", "<u8")))
+    at = _from_planes(row["at"], int(lengths.sum()))
     starts = lengths.cumsum() - lengths
     return lengths, word, at, starts, bigrams(word[at], starts)
 

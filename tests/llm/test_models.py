@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -158,3 +159,20 @@ def test_language_model_on_odd_texts(spark, texts):
     model, words = language_model.fit(rows.limit(0))
     found = language_model.score(rows, model, words).collect()
     assert len(found) == texts.count() and {r["n_known"] for r in found} == {0}
+
+
+def test_batches_of_texts_are_small_and_come_back_whole():
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{int(i)}" for i in rng.zipf(1.3, 400) % 50_000) for _ in range(60)] + [None, ""]
+    rows = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "held_out": [False] * len(texts), "text": texts})
+    want = [language_model.tokens(t) for t in texts]
+    seen, stored = 0, 0
+    for batch in language_model._batches(10_000)(iter([rows])):
+        row = batch.to_pylist()[0]
+        lengths, word, at, _, _ = language_model._read_batch(row)
+        stored += len(row["at"])
+        assert np.array_equal(word[at], np.concatenate(want[seen : seen + len(lengths)]))
+        seen += len(lengths)
+    assert seen == len(texts)
+    # 4 bytes a token before
+    assert stored < 2.5 * sum(map(len, want))
