@@ -33,7 +33,6 @@ held_out and text are left out.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -219,14 +218,14 @@ class Filter:
 def count_tokens(docs: DataFrame) -> DataFrame:
     """Staged rows (h, n) with exact counts over all texts."""
     parts = docs.select("text").mapInArrow(_count_tokens, "h long, n long")
-    return stage(parts.groupBy("h").agg(F.sum("n").alias("n")), "tokens")
+    return stage(parts.groupBy("h").agg(F.sum("n").alias("n")), "tokens", release=True)
 
 
 def build_filter(docs: DataFrame, total: int) -> tuple[DataFrame, int]:
     """Staged blocks (block, bits) of the filter over all n-grams of ``docs``, and the shift from a hash to its block."""
     shift = 64 - max(0, int(np.ceil(np.log2(max(total, 1) / TOKENS_PER_BLOCK))))
     parts = docs.select("text").mapInArrow(_count_ngrams(shift), "block int, counts binary")
-    return stage(parts.groupBy("block").applyInArrow(_write_block(), "block int, bits binary"), "filter"), shift
+    return stage(parts.groupBy("block").applyInArrow(_write_block(), "block int, bits binary"), "filter", release=True), shift
 
 
 # -- scoring
@@ -368,12 +367,6 @@ def fit(docs: DataFrame) -> tuple[dict, DataFrame]:
     return model, words
 
 
-def _release(spark: SparkSession) -> None:
-    """Has Spark delete the shuffle files that no DataFrame refers to any more: their results are written."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def score(docs: DataFrame, model: dict, words: DataFrame) -> DataFrame:
     """Rows (id, held_out, n_tokens, n_known, train_tokens, base_score, score) for rows (id, held_out, text)."""
     spark: SparkSession = docs.sparkSession
@@ -382,7 +375,6 @@ def score(docs: DataFrame, model: dict, words: DataFrame) -> DataFrame:
         docs.select("id", "held_out").schema, ("n_tokens", "long"), ("n_known", "long"), ("base", "double"), ("score", "double"),
         ("rare", "array<long>"), ("times", "array<long>"),
     )
-    _release(spark)  # of the fit
     types = {c: docs.schema[c].dataType.simpleString() for c in ("id", "held_out")}
     batches = docs.select("id", "held_out", "text").mapInArrow(
         _batches(BATCH), f"id array<{types['id']}>, held_out array<{types['held_out']}>, lengths binary, words binary, at binary"
@@ -390,15 +382,11 @@ def score(docs: DataFrame, model: dict, words: DataFrame) -> DataFrame:
     # batch and row numbers that stay: they are written with the rows
     batches = stage(batches.withColumn("batch", F.monotonically_increasing_id()), "batches")
     probes = batches.select("batch", "lengths", "words", "at").mapInArrow(_probe(model["shift"]), "batch long, block int, probes binary")
-    answers = stage(probes.groupBy("block").cogroup(model["filter"].groupBy("block")).applyInArrow(_answer, "batch long, block int, levels binary"), "answers")
-    del probes
-    _release(spark)
+    answers = stage(probes.groupBy("block").cogroup(model["filter"].groupBy("block")).applyInArrow(_answer, "batch long, block int, levels binary"), "answers", release=True)
     scored = answers.groupBy("batch").cogroup(batches.groupBy("batch")).applyInArrow(_score(sent), schema)
-    staged = stage(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    staged = stage(scored.withColumn("row", F.monotonically_increasing_id()), "scored", release=True)
     discard(batches)
     discard(answers)
-    del scored
-    _release(spark)
     floor = float(np.log10(model["total"] + ADD * (model["types"] + 1)))
     rare = staged.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("h"), "x.times")
     found = rare.join(words, "h").groupBy("row").agg(

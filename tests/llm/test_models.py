@@ -2,6 +2,7 @@
 
 import collections
 import math
+import os
 import zlib
 
 import numpy as np
@@ -176,3 +177,25 @@ def test_batches_of_texts_are_small_and_come_back_whole():
     assert seen == len(texts)
     # 4 bytes a token before
     assert stored < 2.5 * sum(map(len, want))
+
+
+def test_scoring_leaves_no_shuffle_files_of_its_steps(spark, monkeypatch):
+    """They would lie beside the next step's until a garbage collection at some later time."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [d.getAbsolutePath() for d in disk.localDirs()]
+    shuffled = lambda: {f for d in folders for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+    left, write = [], language_model.stage
+
+    def stage(df, name, **options):
+        before = shuffled()
+        table = write(df, name, **options)
+        left.append((name, shuffled() - before))
+        return table
+
+    monkeypatch.setattr(language_model, "stage", stage)
+    setting = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    rows = spark.createDataFrame([(i, i % 10 == 0, f"word {i} and {i % 7}") for i in range(300)], "id long, held_out boolean, text string")
+    model, words = language_model.fit(rows.where("NOT held_out"))
+    assert language_model.score(rows, model, words).count() == 300
+    assert left == [(name, set()) for name in ("tokens", "filter", "batches", "answers", "scored")]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
