@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clickloom.llm import embedding_dedup, simhash, suffix_dedup
+from clickloom.llm import embedding_dedup, queries, simhash, suffix_dedup
 from clickloom.llm.common import documents
 
 
@@ -213,6 +213,22 @@ def test_copies_of_a_row_are_gathered_once(spark, copies):
     assert not any(r["n_removed"] for r in rows if r["doc_id"] != 1)
 
 
+def test_op2_returns_what_is_left(spark, folder):
+    """A passage goes from 400 bytes on, the contract's length; the text left, without halves of characters, matches the digests."""
+    rng = np.random.default_rng(8)
+    words = lambda n: " ".join("".join(map(chr, rng.integers(97, 123, 5))) for _ in range(n))
+    long, short = words(67)[:400], words(67)[:399]
+    # the passage of the last two ends amid a character: both share its first byte only
+    split = words(67)[:399]
+    rows = [(1, "A" + long + "B"), (2, "C" + long + "D"), (3, "E" + short + "F"), (4, "G" + short + "H"), (5, words(200)), (6, None), (7, "I" + split + "é"), (8, "J" + split + "ü")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    found = {r["doc_id"]: r for r in queries.registered()["op2_suffix_array_dedup"](spark, folder).collect()}
+    want = dict(rows) | {1: "AB", 2: "CD", 6: "", 7: "I", 8: "J"}
+    assert {k: r["text"] for k, r in found.items()} == want
+    assert {k: r["n_removed"] for k, r in found.items()} == {1: 400, 2: 400, 3: 0, 4: 0, 5: 0, 6: 0, 7: 400, 8: 400}
+    assert all(r["kept_sha256"] == hashlib.sha256(r["text"].encode()).hexdigest() for k, r in found.items() if k < 7)
+
+
 def test_names_of_the_caller_stay(spark, texts):
     """Columns named like inner ones come out as they went in."""
     inner = ["_h", "_id", "_found", "h", "id", "found", "_found_id", "__h", "n", "_n", "_kept_id", "k", "_f", "fp", "root"]
